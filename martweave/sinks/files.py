@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RUN_COLUMN = "run_ts"
@@ -19,26 +21,15 @@ def write_partitioned(frame: DataFrame, path: str, by: tuple[str, ...] = SALES_P
     Rows are gathered by partition value so that a folder gets few files; a
     folder that holds too many rows for one task is split by AQE.
     """
-    (
-        frame.hint("rebalance", *[F.col(c) for c in by])
-        .write.option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .partitionBy(*by)
-        .parquet(path)
-    )
+    with _spread_writers(frame.sparkSession):
+        _dynamic(_gathered(frame, by)).partitionBy(*by).parquet(path)
 
 
 def write_snapshot(frame: DataFrame, path: str, run_ts: int | str, by: tuple[str, ...] = ()) -> None:
     """Writes one version below ``path/run_ts=<run_ts>/``; a repeat replaces that version."""
     version = frame.withColumn(RUN_COLUMN, F.lit(run_ts))
-    if by:
-        version = version.hint("rebalance", *[F.col(c) for c in by])
-    (
-        version.write.option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .partitionBy(RUN_COLUMN, *by)
-        .parquet(path)
-    )
+    with _spread_writers(frame.sparkSession):
+        _dynamic(_gathered(version, by) if by else version).partitionBy(RUN_COLUMN, *by).parquet(path)
 
 
 def preview(frame: DataFrame, rows: int = 20, enabled: bool = False) -> None:
@@ -46,3 +37,33 @@ def preview(frame: DataFrame, rows: int = 20, enabled: bool = False) -> None:
     if enabled:
         frame.printSchema()
         frame.show(rows)
+
+
+def _gathered(frame: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    return frame.hint("rebalance", *[F.col(c) for c in by])
+
+
+def _dynamic(frame: DataFrame):
+    return frame.write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
+
+
+@contextmanager
+def _spread_writers(spark: SparkSession):
+    """Keeps small data with many folders on all cores.
+
+    AQE would merge a few megabytes into one task, which then creates every
+    folder one after the other. Large writes are not affected: their partitions
+    stay at the advisory size.
+    """
+    wanted = {
+        "spark.sql.adaptive.coalescePartitions.minPartitionNum": str(spark.sparkContext.defaultParallelism),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
+    }
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
