@@ -20,6 +20,11 @@ def month_key(date: Column | str) -> Column:
     return F.substring(F.col(date) if isinstance(date, str) else date, 1, 7)
 
 
+def month_start(date: Column | str) -> Column:
+    """First day of the month: the same groups as ``month_key``, as a cheaper key."""
+    return F.trunc(date, "month")
+
+
 def full_name(first: Column | str, last: Column | str) -> Column:
     """First and last name with a blank between; NULL when either is NULL."""
     return F.concat(first, F.lit(" "), last)

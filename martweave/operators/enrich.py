@@ -42,7 +42,7 @@ class Dimensions:
 
     @cached_property
     def sizes(self) -> dict[str, Size]:
-        return measure({name: getattr(self, name) for name in self.KEYS})
+        return measure({name: (getattr(self, name), key) for name, key in self.KEYS.items()})
 
     def fits(self, name: str) -> bool:
         """True when the whole dimension may be broadcast."""
@@ -56,22 +56,30 @@ class Dimensions:
         """``frame``, which is no larger than dimension ``name``, as a join side."""
         return F.broadcast(frame) if self.fits(name) else frame
 
+    def unique(self, name: str) -> bool:
+        return self.sizes[name].unique
+
     def key_copies(self, name: str) -> DataFrame:
         """``(key, copies)``: one row per key with the number of its rows."""
         key = F.col(self.KEYS[name]).alias("key")
-        return getattr(self, name).groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
+        table = getattr(self, name)
+        if self.unique(name):
+            return table.select(key, F.lit(1).alias("copies"))
+        return table.groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
 
     def customer_names(self) -> DataFrame:
         """What the customer mart shows of a customer, one row per distinct content."""
-        return self.customer.select(
+        shown = self.customer.select(
             "customer_id", full_name("first_name", "last_name").alias("full_name"), "address", "phone_number"
-        ).distinct()
+        )
+        return shown if self.unique("customer") else shown.distinct()
 
     def seller_names(self) -> DataFrame:
         """What the incentive mart shows of a sales person, one row per distinct content."""
-        return self.sales_team.select(
+        shown = self.sales_team.select(
             F.col("id").alias("sales_person_id"), full_name("first_name", "last_name").alias("full_name")
-        ).distinct()
+        )
+        return shown if self.unique("sales_team") else shown.distinct()
 
 
 def _inner(fact: DataFrame, dims: Dimensions, name: str, dimension: DataFrame, on: Column) -> DataFrame:

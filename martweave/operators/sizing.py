@@ -20,10 +20,17 @@ _COLUMN_BYTES = 16
 
 @dataclass(frozen=True)
 class Size:
-    """Measured rows and in-memory bytes of a frame."""
+    """Measured rows and in-memory bytes of a frame, and its key counts."""
 
     rows: int
     bytes: int
+    keys: int  # rows with a key
+    distinct_keys: int
+
+    @property
+    def unique(self) -> bool:
+        """True when no two rows share a key."""
+        return self.keys == self.distinct_keys
 
 
 def _text_bytes(frame: DataFrame) -> Column:
@@ -35,21 +42,23 @@ def _text_bytes(frame: DataFrame) -> Column:
     return reduce(lambda a, b: a + b, texts, F.lit(0).cast("bigint"))
 
 
-def measure(frames: Mapping[str, DataFrame]) -> dict[str, Size]:
-    """Sizes of several frames, in one Spark job.
+def measure(frames: Mapping[str, tuple[DataFrame, str]]) -> dict[str, Size]:
+    """Sizes of several frames with their key columns, in one Spark job.
 
     Each frame is reduced to one row on the executors; the driver gets
     ``len(frames)`` rows.
     """
     parts = []
-    for name, frame in frames.items():
+    for name, (frame, key) in frames.items():
         width = _ROW_BYTES + _COLUMN_BYTES * len(frame.columns)
         parts.append(
             frame.agg(
                 F.lit(name).alias("name"),
                 F.count(F.lit(1)).alias("rows"),
                 (F.count(F.lit(1)) * width + F.coalesce(F.sum(_text_bytes(frame)), F.lit(0))).alias("bytes"),
+                F.count(key).alias("keys"),
+                F.count_distinct(key).alias("distinct_keys"),
             )
         )
     rows = reduce(DataFrame.unionAll, parts).collect()
-    return {r["name"]: Size(r["rows"], r["bytes"]) for r in rows}
+    return {r["name"]: Size(r["rows"], r["bytes"], r["keys"], r["distinct_keys"]) for r in rows}

@@ -5,7 +5,8 @@ person and month), while the row also shows names. When a dimension holds two
 names for one key, each name gets a row and both carry the combined total.
 
 No window is used, so no group has to fit one task: sums are partial
-before the shuffle, and totals are joined back to the names.
+before the shuffle, and totals are joined back to the names. Rows are grouped
+by the month's first day, a four-byte key; its text is made from the result.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martweave.contract import MONEY_TOTAL
-from martweave.functions.sales import full_name, month_key
+from martweave.functions.sales import full_name, month_key, month_start
 from martweave.operators.enrich import Dimensions
 
 CUSTOMER_KEY = ["customer_id", "sales_date_month"]
@@ -46,10 +47,11 @@ def customer_totals_of_detail(detail: DataFrame) -> DataFrame:
         full_name("first_name", "last_name").alias("full_name"),
         "address",
         "phone_number",
-        month_key("sales_date").alias("sales_date_month"),
+        month_start("sales_date").alias("sales_date_month"),
         "total_cost",
     )
-    return totals_of_detail(rows, CUSTOMER_KEY, ["full_name", "address", "phone_number"])
+    totals = totals_of_detail(rows, CUSTOMER_KEY, ["full_name", "address", "phone_number"])
+    return totals.withColumn("sales_date_month", month_key("sales_date_month"))
 
 
 def seller_totals_of_detail(detail: DataFrame) -> DataFrame:
@@ -58,39 +60,40 @@ def seller_totals_of_detail(detail: DataFrame) -> DataFrame:
         "store_id",
         "sales_person_id",
         full_name("sales_person_first_name", "sales_person_last_name").alias("full_name"),
-        month_key("sales_date").alias("sales_month"),
+        month_start("sales_date").alias("sales_month"),
         "total_cost",
     )
-    return totals_of_detail(rows, SELLER_KEY, ["full_name"])
+    totals = totals_of_detail(rows, SELLER_KEY, ["full_name"])
+    return totals.withColumn("sales_month", month_key("sales_month"))
 
 
 def matched_amounts(fact: DataFrame, dims: Dimensions) -> DataFrame:
     """Amounts of the fact rows that find a partner in all three dimensions.
 
-    ``(customer_id, store_id, sales_person_id, sales_month, amount)``, where an
-    amount counts once per combination of partners, as in the joined detail.
-    Only keys and copy counts are joined, never names. When a dimension is too
-    large to broadcast, rows are first summed per key combination, so the
-    shuffle joins see one row for all sales of a hot key in a month.
+    ``(customer_id, store_id, sales_person_id, month, amount)``, where ``month`` is
+    its first day and an amount counts once per combination of partners, as in
+    the joined detail. Only keys and copy counts are joined, never names. When a
+    dimension is too large to broadcast, rows are first summed per key
+    combination, so the shuffle joins see one row for all sales of a hot key
+    combination in a month.
     """
     rows = fact.select(
         "customer_id",
         "store_id",
         "sales_person_id",
-        month_key("sales_date").alias("sales_month"),
+        month_start("sales_date").alias("month"),
         F.col("total_cost").alias("amount"),
     )
     if not dims.all_fit:
-        rows = rows.groupBy("customer_id", "store_id", "sales_person_id", "sales_month").agg(
+        rows = rows.groupBy("customer_id", "store_id", "sales_person_id", "month").agg(
             F.sum("amount").alias("amount")
         )
     for name, column in (("store", "store_id"), ("sales_team", "sales_person_id"), ("customer", "customer_id")):
-        copies = dims.key_copies(name)
-        rows = (
-            rows.join(dims.placed(name, copies), rows[column] == copies["key"], "inner")
-            .withColumn("amount", F.col("amount") * F.col("copies"))
-            .drop("key", "copies")
-        )
+        partners = dims.key_copies(name)
+        rows = rows.join(dims.placed(name, partners), rows[column] == partners["key"], "inner").drop("key")
+        if not dims.unique(name):
+            rows = rows.withColumn("amount", F.col("amount") * F.col("copies"))
+        rows = rows.drop("copies")
     return rows
 
 
@@ -102,8 +105,9 @@ def customer_totals(fact: DataFrame, dims: Dimensions) -> DataFrame:
     """
     totals = (
         matched_amounts(fact, dims)
-        .groupBy("customer_id", F.col("sales_month").alias("sales_date_month"))
+        .groupBy("customer_id", "month")
         .agg(F.sum("amount").cast(MONEY_TOTAL).alias("total_sales"))
+        .select("customer_id", month_key("month").alias("sales_date_month"), "total_sales")
     )
     return totals.join(dims.placed("customer", dims.customer_names()), "customer_id")
 
@@ -112,7 +116,8 @@ def seller_totals(fact: DataFrame, dims: Dimensions) -> DataFrame:
     """Sales-person monthly totals straight from fact and dimensions."""
     totals = (
         matched_amounts(fact, dims)
-        .groupBy(*SELLER_KEY)
+        .groupBy("store_id", "sales_person_id", "month")
         .agg(F.sum("amount").cast(MONEY_TOTAL).alias("total_sales"))
+        .select("store_id", "sales_person_id", month_key("month").alias("sales_month"), "total_sales")
     )
     return totals.join(dims.placed("sales_team", dims.seller_names()), "sales_person_id")

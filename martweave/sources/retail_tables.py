@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,79 +11,70 @@ from martweave.contract import MONEY
 from martweave.operators.enrich import Dimensions
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
-def sales_fact(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per order line, with the eight sales columns.
-
-    The unit price is the line amount over its quantity, rounded down to cents.
-    Small tables are left to Catalyst's own size-checked broadcast.
-    """
-    lines = table(spark, folder, "lineitem")
-    orders = table(spark, folder, "orders")
-    suppliers = table(spark, folder, "supplier")
-    parts = table(spark, folder, "part")
-    joined = (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-        .join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
-        .join(parts, lines.l_partkey == parts.p_partkey)
-    )
-    amount = F.col("l_extendedprice").cast(MONEY)
-    quantity = F.col("l_quantity").cast("bigint")
-    cents = F.expr("cast(cast(l_extendedprice as decimal(18,2)) * 100 as bigint) div nullif(cast(l_quantity as bigint), 0)")
-    return joined.select(
-        F.col("o_custkey").alias("customer_id"),
-        F.col("s_nationkey").cast("bigint").alias("store_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("o_orderdate").cast("date").alias("sales_date"),
-        F.col("l_suppkey").alias("sales_person_id"),
-        (cents.cast("decimal(18,0)") / 100).cast(MONEY).alias("price"),
-        quantity.alias("quantity"),
-        amount.alias("total_cost"),
-        F.lit(None).cast("string").alias("extra_column"),
-        F.col("l_returnflag").alias("return_flag"),
-        F.col("l_linestatus").alias("line_status"),
-    )
-
-
-def customer_dimension(spark: SparkSession, folder: str) -> DataFrame:
-    customer, nation = table(spark, folder, "customer"), table(spark, folder, "nation")
-    return customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
-        F.col("c_custkey").alias("customer_id"),
-        F.substring("c_name", 1, 8).alias("first_name"),
-        F.substring("c_name", 10, 9).alias("last_name"),
-        F.col("n_name").alias("address"),
-        F.col("c_nationkey").cast("string").alias("pincode"),
-        F.concat(F.lit("91"), F.lpad(F.col("c_custkey").cast("string"), 8, "0")).alias("phone_number"),
-    )
-
-
-def store_dimension(spark: SparkSession, folder: str) -> DataFrame:
-    nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        F.col("n_nationkey").alias("id"), F.col("r_name").alias("store_manager_name")
-    )
-
-
-def sales_team_dimension(spark: SparkSession, folder: str) -> DataFrame:
-    supplier, nation = table(spark, folder, "supplier"), table(spark, folder, "nation")
-    return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select(
-        F.col("s_suppkey").alias("id"),
-        F.split_part("s_name", F.lit("#"), F.lit(1)).alias("first_name"),
-        F.split_part("s_name", F.lit("#"), F.lit(2)).alias("last_name"),
-        F.col("n_name").alias("address"),
-        F.col("s_nationkey").cast("string").alias("pincode"),
-        F.col("s_nationkey").alias("manager_id"),
-        F.lit("N").alias("is_manager"),
-    )
-
-
-def dimensions(spark: SparkSession, folder: str, **options) -> Dimensions:
-    return Dimensions(
-        customer_dimension(spark, folder),
-        store_dimension(spark, folder),
-        sales_team_dimension(spark, folder),
-        **options,
-    )
+class RetailTables:
+    """The tables of one folder; each is opened once, however often it is used."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.table = cache(lambda name: spark.read.parquet(f"{folder}/{name}.parquet"))
+
+    def sales_fact(self) -> DataFrame:
+        """One row per order line, with the eight sales columns.
+
+        The unit price is the line amount over its quantity, rounded down to
+        cents. Small tables are left to Catalyst's own size-checked broadcast.
+        """
+        lines, orders = self.table("lineitem"), self.table("orders")
+        suppliers, parts = self.table("supplier"), self.table("part")
+        joined = (
+            lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+            .join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
+            .join(parts, lines.l_partkey == parts.p_partkey)
+        )
+        cents = F.expr(
+            "cast(cast(l_extendedprice as decimal(18,2)) * 100 as bigint) div nullif(cast(l_quantity as bigint), 0)"
+        )
+        return joined.select(
+            F.col("o_custkey").alias("customer_id"),
+            F.col("s_nationkey").cast("bigint").alias("store_id"),
+            F.col("p_name").alias("product_name"),
+            F.col("o_orderdate").cast("date").alias("sales_date"),
+            F.col("l_suppkey").alias("sales_person_id"),
+            (cents.cast("decimal(18,0)") / 100).cast(MONEY).alias("price"),
+            F.col("l_quantity").cast("bigint").alias("quantity"),
+            F.col("l_extendedprice").cast(MONEY).alias("total_cost"),
+            F.lit(None).cast("string").alias("extra_column"),
+            F.col("l_returnflag").alias("return_flag"),
+            F.col("l_linestatus").alias("line_status"),
+        )
+
+    def customer(self) -> DataFrame:
+        customer, nation = self.table("customer"), self.table("nation")
+        return customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
+            F.col("c_custkey").alias("customer_id"),
+            F.substring("c_name", 1, 8).alias("first_name"),
+            F.substring("c_name", 10, 9).alias("last_name"),
+            F.col("n_name").alias("address"),
+            F.col("c_nationkey").cast("string").alias("pincode"),
+            F.concat(F.lit("91"), F.lpad(F.col("c_custkey").cast("string"), 8, "0")).alias("phone_number"),
+        )
+
+    def store(self) -> DataFrame:
+        nation, region = self.table("nation"), self.table("region")
+        return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+            F.col("n_nationkey").alias("id"), F.col("r_name").alias("store_manager_name")
+        )
+
+    def sales_team(self) -> DataFrame:
+        supplier, nation = self.table("supplier"), self.table("nation")
+        return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select(
+            F.col("s_suppkey").alias("id"),
+            F.split_part("s_name", F.lit("#"), F.lit(1)).alias("first_name"),
+            F.split_part("s_name", F.lit("#"), F.lit(2)).alias("last_name"),
+            F.col("n_name").alias("address"),
+            F.col("s_nationkey").cast("string").alias("pincode"),
+            F.col("s_nationkey").alias("manager_id"),
+            F.lit("N").alias("is_manager"),
+        )
+
+    def dimensions(self, **options) -> Dimensions:
+        return Dimensions(self.customer(), self.store(), self.sales_team(), **options)
