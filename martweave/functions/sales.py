@@ -52,7 +52,10 @@ def extras_map(names: list[str]) -> Column:
 def whole_number(text: Column) -> Column:
     """Text to bigint. ``'7'`` and ``'7.0'`` give 7, ``'7.5'`` and ``'x'`` give NULL."""
     number = text.try_cast("decimal(38,10)")
-    return F.when(number == F.floor(number), number.try_cast("bigint"))
+    return F.coalesce(
+        text.try_cast("bigint"),  # the common case, without decimal arithmetic
+        F.when(number == F.floor(number), number.try_cast("bigint")),
+    )
 
 
 def money(text: Column) -> Column:

@@ -112,12 +112,21 @@ def customer_totals(fact: DataFrame, dims: Dimensions) -> DataFrame:
     return totals.join(dims.placed("customer", dims.customer_names()), "customer_id")
 
 
-def seller_totals(fact: DataFrame, dims: Dimensions) -> DataFrame:
-    """Sales-person monthly totals straight from fact and dimensions."""
-    totals = (
+def seller_key_totals(fact: DataFrame, dims: Dimensions) -> DataFrame:
+    """Sales-person totals by ``store_id, sales_person_id, month``, without names."""
+    return (
         matched_amounts(fact, dims)
         .groupBy("store_id", "sales_person_id", "month")
         .agg(F.sum("amount").cast(MONEY_TOTAL).alias("total_sales"))
-        .select("store_id", "sales_person_id", month_key("month").alias("sales_month"), "total_sales")
     )
-    return totals.join(dims.placed("sales_team", dims.seller_names()), "sales_person_id")
+
+
+def with_seller_names(totals: DataFrame, dims: Dimensions) -> DataFrame:
+    """One row per total and name of its sales person; the month becomes text."""
+    named = totals.join(dims.placed("sales_team", dims.seller_names()), "sales_person_id")
+    return named.withColumn("sales_month", month_key("month")).drop("month")
+
+
+def seller_totals(fact: DataFrame, dims: Dimensions) -> DataFrame:
+    """Sales-person monthly totals straight from fact and dimensions."""
+    return with_seller_names(seller_key_totals(fact, dims), dims)

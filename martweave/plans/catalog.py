@@ -24,7 +24,7 @@ from martweave.sinks import files, quarantine
 from martweave.sinks import jdbc as jdbc_sink
 from martweave.sources import jdbc as jdbc_source
 from martweave.sources import landing, sales_csv
-from martweave.sources.retail_tables import RetailTables
+from martweave.sources.retail_tables import open_tables
 from martweave.streaming.pickup import start_pickup
 from martweave.workspace import new_folder
 
@@ -40,7 +40,7 @@ def comparable(frame: DataFrame) -> DataFrame:
 
 
 def _inputs(spark: SparkSession, folder: str) -> tuple[DataFrame, Dimensions]:
-    tables = RetailTables(spark, folder)
+    tables = open_tables(spark, folder)
     return tables.sales_fact(), tables.dimensions()
 
 
@@ -50,7 +50,7 @@ def _detail(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def fact_conform(spark, folder):
-    return comparable(RetailTables(spark, folder).sales_fact().select(*MANDATORY_COLUMNS))
+    return comparable(open_tables(spark, folder).sales_fact().select(*MANDATORY_COLUMNS))
 
 
 def fact_enrich(spark, folder):
@@ -89,7 +89,7 @@ def customer_monthly_mart(spark, folder):
 
 def _with_second_names(spark, folder) -> tuple[DataFrame, Dimensions]:
     """Inputs where customers of one nation, and sales people of another, have two rows."""
-    tables = RetailTables(spark, folder)
+    tables = open_tables(spark, folder)
     fact = tables.sales_fact().drop("return_flag", "line_status")
     customer, team = tables.customer(), tables.sales_team()
     second = F.lit("Second").alias("last_name")
@@ -219,7 +219,7 @@ def snapshot_versioned_readback(spark, folder):
 
 def _ledger_events(spark, folder) -> DataFrame:
     """Ledger events out of the events table: a purchase ends what others begin."""
-    return RetailTables(spark, folder).table("events").select(
+    return open_tables(spark, folder).table("events").select(
         F.concat(F.lit("sales_"), F.col("user_id").cast("string"), F.lit(".csv")).alias("file_name"),
         F.concat(F.lit("landing/"), F.col("event_type")).alias("file_location"),
         F.col("event_id").cast("string").alias("run_id"),
@@ -230,7 +230,7 @@ def _ledger_events(spark, folder) -> DataFrame:
 
 def ledger_unfinished(spark, folder):
     """Landed files (one per customer) that an earlier run left unfinished."""
-    landed = RetailTables(spark, folder).table("customer").select(
+    landed = open_tables(spark, folder).table("customer").select(
         F.concat(F.lit("sales_"), F.col("c_custkey").cast("string"), F.lit(".csv")).alias("file_name")
     )
     return ledger.unfinished(_ledger_events(spark, folder), landed)
@@ -280,7 +280,7 @@ def jdbc_roundtrip_customer(spark, folder):
             raise RuntimeError("set spark.martweave.jdbc.url to a database that all executors reach")
         spark._jvm.java.lang.System.setProperty("derby.stream.error.file", "/dev/null")
         url = f"jdbc:derby:memory:martweave{uuid.uuid4().hex[:8]};create=true"
-    customer = RetailTables(spark, folder).customer()
+    customer = open_tables(spark, folder).customer()
     jdbc_sink.rewrite_table(customer, url, "customer_dim", {})
     jdbc_sink.rewrite_table(customer, url, "customer_dim", {})
     return comparable(jdbc_source.read_table(spark, url, "customer_dim", {}, "customer_id", connections=4))
@@ -288,7 +288,7 @@ def jdbc_roundtrip_customer(spark, folder):
 
 def stream_pickup_count(spark, folder):
     """Two deliveries found by the stream, one run each; a third run finds nothing."""
-    sales = RetailTables(spark, folder).sales_fact()
+    sales = open_tables(spark, folder).sales_fact()
     landed, checkpoint = new_folder(spark, "landing"), new_folder(spark, "pickup")
     target = new_folder(spark, "picked")
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martweave.contract import MANDATORY_COLUMNS
-from martweave.sources.retail_tables import RetailTables
+from martweave.sources.retail_tables import open_tables
 from martweave.workspace import as_table, new_folder
 
 # Delivery of an order date, as SQL that Spark and DuckDB both read.
@@ -50,7 +50,7 @@ def land_deliveries(spark: SparkSession, folder: str) -> str:
     """Writes all sales below a new landing folder, one sub-folder per delivery."""
     landing = new_folder(spark, "landing")
     sales = as_table(
-        RetailTables(spark, folder)
+        open_tables(spark, folder)
         .sales_fact()
         .withColumn("delivery", F.expr(DELIVERY_SQL))
         .withColumn("payment_mode", F.expr(PAYMENT_SQL))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from martweave.contract import (
     CUSTOMER_DETAIL_COLUMNS,
     CUSTOMER_MONTHLY_COLUMNS,
+    INCENTIVE_COLUMNS,
     INCENTIVE_RATE,
     SALES_TEAM_DETAIL_COLUMNS,
 )
@@ -17,8 +18,9 @@ from martweave.operators.ranking import pay_best_sellers
 from martweave.operators.totals import (
     customer_totals,
     customer_totals_of_detail,
-    seller_totals,
+    seller_key_totals,
     seller_totals_of_detail,
+    with_seller_names,
 )
 
 
@@ -41,11 +43,12 @@ def customer_monthly_of_detail(detail: DataFrame) -> DataFrame:
 
 
 def sales_person_incentive(fact: DataFrame, dims: Dimensions, rate: str = INCENTIVE_RATE) -> DataFrame:
-    return pay_best_sellers(seller_totals(fact, dims), rate)
+    paid = pay_best_sellers(seller_key_totals(fact, dims), rate, ["store_id", "month"])
+    return with_seller_names(paid, dims).select(*INCENTIVE_COLUMNS)
 
 
 def sales_person_incentive_of_detail(detail: DataFrame, rate: str = INCENTIVE_RATE) -> DataFrame:
-    return pay_best_sellers(seller_totals_of_detail(detail), rate)
+    return pay_best_sellers(seller_totals_of_detail(detail), rate).select(*INCENTIVE_COLUMNS)
 
 
 def only_months(detail: DataFrame, months: DataFrame) -> DataFrame:

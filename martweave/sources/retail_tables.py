@@ -12,10 +12,15 @@ from martweave.operators.enrich import Dimensions
 
 
 class RetailTables:
-    """The tables of one folder; each is opened once, however often it is used."""
+    """The tables of one folder.
+
+    Each table is opened, and the dimensions are measured, once per instance: a
+    frame keeps the file list it was opened with, so the sizes stay true of it.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.table = cache(lambda name: spark.read.parquet(f"{folder}/{name}.parquet"))
+        self.dimensions = cache(lambda: Dimensions(self.customer(), self.store(), self.sales_team()))
 
     def sales_fact(self) -> DataFrame:
         """One row per order line, with the eight sales columns.
@@ -76,5 +81,8 @@ class RetailTables:
             F.lit("N").alias("is_manager"),
         )
 
-    def dimensions(self, **options) -> Dimensions:
-        return Dimensions(self.customer(), self.store(), self.sales_team(), **options)
+
+@cache
+def open_tables(spark: SparkSession, folder: str) -> RetailTables:
+    """The tables of ``folder``, shared by all queries of a session."""
+    return RetailTables(spark, folder)
