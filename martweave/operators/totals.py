@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from martweave.contract import MONEY_TOTAL
 from martweave.functions.sales import full_name, month_key, month_start
 from martweave.operators.enrich import Dimensions
+from martweave.workspace import as_table
 
 CUSTOMER_KEY = ["customer_id", "sales_date_month"]
 SELLER_KEY = ["store_id", "sales_person_id", "sales_month"]
@@ -32,10 +33,11 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFr
 def totals_of_detail(detail: DataFrame, key: list[str], names: list[str]) -> DataFrame:
     """Totals per ``key``, shown once per distinct ``key`` and ``names``.
 
-    The detail is summed once per shown row; the key totals come from these
-    sums. Both sides of the join read the same shuffle (Spark reuses it).
+    The detail is summed once per shown row. These sums are written, and both
+    sides of the join read them from there: Spark would prune the two sides
+    differently and scan the detail twice.
     """
-    shown = detail.groupBy(*key, *names).agg(F.sum("total_cost").alias("part"))
+    shown = as_table(detail.groupBy(*key, *names).agg(F.sum("total_cost").alias("part")), "shown")
     whole = shown.groupBy(*key).agg(F.sum("part").cast(MONEY_TOTAL).alias("total_sales"))
     return join_null_safe(shown.drop("part"), whole, key)
 
