@@ -26,7 +26,7 @@ from martweave.sources import jdbc as jdbc_source
 from martweave.sources import landing, sales_csv
 from martweave.sources.retail_tables import open_tables
 from martweave.streaming.pickup import start_pickup
-from martweave.workspace import new_folder
+from martweave.workspace import is_local, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,7 +50,7 @@ def _detail(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def fact_conform(spark, folder):
-    return comparable(open_tables(spark, folder).sales_fact().select(*MANDATORY_COLUMNS))
+    return comparable(open_tables(spark, folder).sales_fact(product_names=True).select(*MANDATORY_COLUMNS))
 
 
 def fact_enrich(spark, folder):
@@ -198,6 +198,14 @@ def union_by_name_batches(spark, folder):
     return comparable(sales_csv.read_sales(spark, landing.require_accepted(verdicts)).select(*MANDATORY_COLUMNS))
 
 
+def parquet_mart_readback(spark, folder):
+    """The customer detail written as one table, twice, and read back."""
+    target = new_folder(spark, "customer-detail")
+    for _ in range(2):
+        files.write_parquet(marts.customer_detail(_detail(spark, folder)), target)
+    return comparable(spark.read.parquet(target))
+
+
 def partitioned_mart_readback(spark, folder):
     """The sales-team detail written by month and store, and read back."""
     target = new_folder(spark, "sales-team-detail")
@@ -217,6 +225,15 @@ def snapshot_versioned_readback(spark, folder):
     )
 
 
+def snapshot_partitioned_readback(spark, folder):
+    """The sales-team detail as a version split by month and store."""
+    target = new_folder(spark, "sales-team-versions")
+    detail = marts.sales_team_detail(_detail(spark, folder))
+    files.write_snapshot(detail, target, 1, by=files.SALES_PARTITIONS)
+    version = spark.read.parquet(target).where(F.col(files.RUN_COLUMN) == 1).drop(files.RUN_COLUMN)
+    return comparable(version)
+
+
 def _ledger_events(spark, folder) -> DataFrame:
     """Ledger events out of the events table: a purchase ends what others begin."""
     return open_tables(spark, folder).table("events").select(
@@ -267,25 +284,36 @@ def ledger_marked_files(spark, folder):
     )
 
 
-def jdbc_roundtrip_customer(spark, folder):
-    """The customer dimension to a database table and back over several connections.
+def _database(spark) -> str:
+    """URL of the database for the round trips, from ``spark.martweave.jdbc.url``.
 
-    The database comes from ``spark.martweave.jdbc.url``. Local mode falls back
-    to an embedded one in memory, which only this process sees and which
-    therefore cannot serve a cluster.
+    Local mode falls back to an embedded one in memory, which only this process
+    sees and which therefore cannot serve a cluster.
     """
     url = spark.conf.get("spark.martweave.jdbc.url", None)
     if url is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not is_local(spark):
             raise RuntimeError("set spark.martweave.jdbc.url to a database that all executors reach")
         spark._jvm.java.lang.System.setProperty("derby.stream.error.file", "/dev/null")
         url = f"jdbc:derby:memory:martweave{uuid.uuid4().hex[:8]};create=true"
-    customer = open_tables(spark, folder).customer()
-    jdbc_sink.rewrite_table(customer, url, "customer_dim", {})
-    jdbc_sink.rewrite_table(customer, url, "customer_dim", {})
+    return url
+
+
+def jdbc_roundtrip_customer(spark, folder):
+    """The customer dimension to a database table, twice, and back over several connections."""
+    url, customer = _database(spark), open_tables(spark, folder).customer()
+    for _ in range(2):
+        jdbc_sink.rewrite_table(customer, url, "customer_dim", {})
     return comparable(jdbc_source.read_table(spark, url, "customer_dim", {}, "customer_id", connections=4))
 
 
+def jdbc_mart_append(spark, folder):
+    """The incentive mart appended to a new database table."""
+    url, table = _database(spark), f"incentive_{uuid.uuid4().hex[:8]}"
+    jdbc_sink.append_table(marts.sales_person_incentive(*_inputs(spark, folder)), url, table, {})
+    return comparable(jdbc_source.read_table(spark, url, table, {}, "sales_person_id", connections=4))
+
+
 def stream_pickup_count(spark, folder):
     """Two deliveries found by the stream, one run each; a third run finds nothing."""
     sales = open_tables(spark, folder).sales_fact()
@@ -351,13 +379,16 @@ QUERIES: dict[str, Query] = {
         extras_folded,
         extras_by_name,
         union_by_name_batches,
+        parquet_mart_readback,
         partitioned_mart_readback,
         snapshot_versioned_readback,
+        snapshot_partitioned_readback,
         ledger_unfinished,
         ledger_current_status,
         ledger_rows,
         ledger_marked_files,
         jdbc_roundtrip_customer,
+        jdbc_mart_append,
         stream_pickup_count,
         recomputed_months,
         landed_sales_to_marts,

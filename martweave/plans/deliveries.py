@@ -51,7 +51,7 @@ def land_deliveries(spark: SparkSession, folder: str) -> str:
     landing = new_folder(spark, "landing")
     sales = as_table(
         open_tables(spark, folder)
-        .sales_fact()
+        .sales_fact(product_names=True)
         .withColumn("delivery", F.expr(DELIVERY_SQL))
         .withColumn("payment_mode", F.expr(PAYMENT_SQL))
         .withColumn("note", F.expr(NOTE_SQL)),

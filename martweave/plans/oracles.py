@@ -15,7 +15,7 @@ fact AS (
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN supplier s ON l.l_suppkey = s.s_suppkey
-  JOIN part p ON l.l_partkey = p.p_partkey
+  LEFT JOIN part p ON l.l_partkey = p.p_partkey
 )"""
 
 _CUSTOMER = """
@@ -195,4 +195,7 @@ FROM fact GROUP BY 1""",
     "recomputed_months": f"{_JOINED} {_CUSTOMER_MONTHLY}",
     "landed_sales_to_marts": f"{_JOINED}, {_INCENTIVE}",
 }
+ORACLES["parquet_mart_readback"] = ORACLES["customer_detail_mart"]
 ORACLES["partitioned_mart_readback"] = ORACLES["sales_team_detail_mart"]
+ORACLES["snapshot_partitioned_readback"] = ORACLES["sales_team_detail_mart"]
+ORACLES["jdbc_mart_append"] = ORACLES["sales_person_incentive"]

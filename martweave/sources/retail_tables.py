@@ -22,26 +22,30 @@ class RetailTables:
         self.table = cache(lambda name: spark.read.parquet(f"{folder}/{name}.parquet"))
         self.dimensions = cache(lambda: Dimensions(self.customer(), self.store(), self.sales_team()))
 
-    def sales_fact(self) -> DataFrame:
+    def sales_fact(self, product_names: bool = False) -> DataFrame:
         """One row per order line, with the eight sales columns.
 
         The unit price is the line amount over its quantity, rounded down to
-        cents. Small tables are left to Catalyst's own size-checked broadcast.
+        cents. Product names are shown by no mart, so the product table is only
+        joined on request; an unknown product keeps its sale. Small tables are
+        left to Catalyst's own size-checked broadcast.
         """
-        lines, orders = self.table("lineitem"), self.table("orders")
-        suppliers, parts = self.table("supplier"), self.table("part")
-        joined = (
-            lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-            .join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
-            .join(parts, lines.l_partkey == parts.p_partkey)
+        lines, orders, suppliers = self.table("lineitem"), self.table("orders"), self.table("supplier")
+        joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(
+            suppliers, lines.l_suppkey == suppliers.s_suppkey
         )
+        product = F.lit(None).cast("string")
+        if product_names:
+            parts = self.table("part")
+            joined = joined.join(parts, lines.l_partkey == parts.p_partkey, "left")
+            product = F.col("p_name")
         cents = F.expr(
             "cast(cast(l_extendedprice as decimal(18,2)) * 100 as bigint) div nullif(cast(l_quantity as bigint), 0)"
         )
         return joined.select(
             F.col("o_custkey").alias("customer_id"),
             F.col("s_nationkey").cast("bigint").alias("store_id"),
-            F.col("p_name").alias("product_name"),
+            product.alias("product_name"),
             F.col("o_orderdate").cast("date").alias("sales_date"),
             F.col("l_suppkey").alias("sales_person_id"),
             (cents.cast("decimal(18,0)") / 100).cast(MONEY).alias("price"),

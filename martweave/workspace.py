@@ -10,12 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 _local_fallback: dict[str, str] = {}
 
 
+def is_local(spark: SparkSession) -> bool:
+    """True when driver and executors are one process."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def shared_base(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir``; a temporary folder only in local mode."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not is_local(spark):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _local_fallback:
