@@ -28,7 +28,6 @@ MISSING_COLUMNS = "missing columns"
 DIRECT_SCHEMES = ("file",)
 
 _PATHS_PER_TASK = 256
-_HEAD_CHUNK = 1 << 16
 _PATH_SCHEMA = T.StructType([T.StructField("path", T.StringType(), False)])
 _HEADER_SCHEMA = T.StructType([T.StructField("path", T.StringType()), T.StructField("header", T.StringType())])
 
@@ -77,37 +76,43 @@ def as_file_frame(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
-def _first_line(stream) -> str | None:
-    """The first line that is not blank, read in small chunks; None when there is none."""
-    data, ended = b"", False
-    while not ended:
-        chunk = stream.read(_HEAD_CHUNK)
-        ended = not chunk
-        data += chunk
-        lines = data.removeprefix(b"\xef\xbb\xbf").splitlines()
-        complete = lines if ended else lines[:-1]
-        for line in complete:
-            if line.strip(bytes(range(33))):
-                return line.decode("utf-8", "replace")
-    return None
-
-
-def _open_headers(batches):
-    """Arrow batches of paths to batches of (path, header)."""
-    import pyarrow as pa
-    from pyarrow import fs
-
-    for batch in batches:
-        paths = batch.column("path").to_pylist()
-        headers = []
-        for path in paths:
-            uri = path if not path.startswith("file:/") else path[len("file:") :]
-            system, inner = (fs.LocalFileSystem(), uri) if uri.startswith("/") else fs.FileSystem.from_uri(uri)
-            with system.open_input_stream(inner, compression=None) as stream:
-                headers.append(_first_line(stream))
-        yield pa.RecordBatch.from_pydict({"path": paths, "header": headers}, schema=pa.schema(
-            [("path", pa.string()), ("header", pa.string())]
-        ))
+def _header_reader(chunk_bytes: int = 1 << 16):
+    """A task function from Arrow batches of paths to batches of (path, header).
+
+    Everything it needs is nested, so it reaches executors that do not have this
+    package installed.
+    """
+
+    def first_line(stream) -> str | None:
+        """The first line that is not blank, read in small chunks; None when there is none."""
+        data, ended = b"", False
+        while not ended:
+            chunk = stream.read(chunk_bytes)
+            ended = not chunk
+            data += chunk
+            lines = data.removeprefix(b"\xef\xbb\xbf").splitlines()
+            for line in lines if ended else lines[:-1]:
+                if line.strip(bytes(range(33))):
+                    return line.decode("utf-8", "replace")
+        return None
+
+    def header_of(path: str) -> str | None:
+        from pyarrow import fs
+
+        local = path.removeprefix("file:")
+        system, inner = (fs.LocalFileSystem(), local) if local.startswith("/") else fs.FileSystem.from_uri(path)
+        with system.open_input_stream(inner, compression=None) as stream:
+            return first_line(stream)
+
+    def read(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            paths = batch.column("path").to_pylist()
+            headers = pa.array([header_of(path) for path in paths], pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), headers], ["path", "header"])
+
+    return read
 
 
 def _scan_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -131,7 +136,7 @@ def read_headers(spark: SparkSession, csv_paths: list[str], direct_schemes=DIREC
     other = [p for p in csv_paths if p.split(":", 1)[0] not in direct_schemes]
     parts = []
     if direct:
-        parts.append(as_file_frame(spark, direct).select("path").mapInArrow(_open_headers, _HEADER_SCHEMA))
+        parts.append(as_file_frame(spark, direct).select("path").mapInArrow(_header_reader(), _HEADER_SCHEMA))
     if other:
         parts.append(_scan_headers(spark, other))
     if not parts:
