@@ -108,6 +108,10 @@ class Ledger:
         done = self.events().where(F.col("status") == DONE).select(F.col("file_location").alias("path"))
         return files.join(done, "path", "left_anti")
 
+    def finished_runs(self) -> DataFrame:
+        """``(run_id)`` of the runs that marked files as done."""
+        return self.events().where(F.col("status") == DONE).select("run_id").distinct()
+
     def check(self, landed: DataFrame, on_unfinished: str = "warn") -> None:
         """Warns of unfinished files, or raises with ``on_unfinished="fail"``."""
         names = [r[0] for r in unfinished(self.events(), landed).limit(20).collect()]

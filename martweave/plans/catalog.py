@@ -260,14 +260,8 @@ def ledger_current_status(spark, folder):
 def ledger_rows(spark, folder):
     """The ledger as a table that is updated when files are done."""
     rows = ledger.ledger_rows(_ledger_events(spark, folder))
-    stamp = "yyyy-MM-dd HH:mm:ss"
-    return rows.select(
-        "file_name",
-        "file_location",
-        F.date_format("created_date", stamp).alias("created_date"),
-        F.date_format("updated_date", stamp).alias("updated_date"),
-        "status",
-    )
+    seconds = lambda name: F.substring(F.col(name).cast("string"), 1, 19).alias(name)
+    return rows.select("file_name", "file_location", seconds("created_date"), seconds("updated_date"), "status")
 
 
 def ledger_marked_files(spark, folder):
@@ -343,7 +337,7 @@ def recomputed_months(spark, folder):
         delivery = sales.where(F.col("line_status") == status).drop("return_flag", "line_status")
         delivery = delivery.withColumn("sales_month", month_key("sales_date"))
         files.write_snapshot(delivery, store.fact, f"run-{status}", by=("sales_month",))
-        months = batch.of_run(spark, store.fact, f"run-{status}").select("sales_month").distinct()
+        months = batch.read_fact(spark, store, f"run-{status}").select("sales_month").distinct()
         batch.recompute_months(spark, months, dims, store)
     return comparable(spark.read.parquet(store.customer_monthly))
 

@@ -22,14 +22,27 @@ def write_partitioned(frame: DataFrame, path: str, by: tuple[str, ...] = SALES_P
     folder that holds too many rows for one task is split by AQE.
     """
     with _spread_writers(frame.sparkSession):
-        _dynamic(_gathered(frame, by)).partitionBy(*by).parquet(path)
+        (
+            _gathered(frame, by)
+            .write.option("partitionOverwriteMode", "dynamic")
+            .mode("overwrite")
+            .partitionBy(*by)
+            .parquet(path)
+        )
 
 
 def write_snapshot(frame: DataFrame, path: str, run_ts: int | str, by: tuple[str, ...] = ()) -> None:
-    """Writes one version below ``path/run_ts=<run_ts>/``; a repeat replaces that version."""
-    version = frame.withColumn(RUN_COLUMN, F.lit(run_ts))
+    """Writes one version below ``path/run_ts=<run_ts>/``; a repeat replaces that version.
+
+    Reading ``path`` shows all versions with a ``run_ts`` column.
+    """
+    version = _gathered(frame, by) if by else frame
     with _spread_writers(frame.sparkSession):
-        _dynamic(_gathered(version, by) if by else version).partitionBy(RUN_COLUMN, *by).parquet(path)
+        version.write.mode("overwrite").partitionBy(*by).parquet(version_path(path, run_ts))
+
+
+def version_path(path: str, run_ts: int | str) -> str:
+    return f"{path}/{RUN_COLUMN}={run_ts}"
 
 
 def preview(frame: DataFrame, rows: int = 20, enabled: bool = False) -> None:
@@ -43,10 +56,6 @@ def _gathered(frame: DataFrame, by: tuple[str, ...]) -> DataFrame:
     return frame.hint("rebalance", *[F.col(c) for c in by])
 
 
-def _dynamic(frame: DataFrame):
-    return frame.write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
-
-
 @contextmanager
 def _spread_writers(spark: SparkSession):
     """Keeps small data with many folders on all cores.
