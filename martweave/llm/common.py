@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import gc
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martweave.workspace import as_table
 
@@ -61,3 +65,31 @@ def numbered(frame: DataFrame, order: Sequence[Column], group: str | None = None
         .select(*frame.columns, name)
     )
 
+
+
+def add_column(
+    frame: DataFrame, name: str, kind: T.DataType, source: Column, compute: Callable[[pa.Array], pa.Array], step: int = 1 << 23
+) -> DataFrame:
+    """``frame`` with ``name`` computed from ``source`` by array code, without a shuffle.
+
+    Rows are handed over in slices of at most about ``step`` elements (bytes of
+    a text, items of a list; one row may be larger). A column called ``name`` is replaced.
+    """
+    rest = frame.drop(name)
+    schema = T.StructType([*rest.schema.fields, T.StructField(name, kind)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(batch.num_columns - 1)
+            count = pc.list_value_length if pa.types.is_list(column.type) else pc.binary_length
+            ends = np.cumsum(pc.fill_null(count(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            low = 0
+            while low < batch.num_rows:
+                start = int(ends[low - 1]) if low else 0
+                high = max(low + 1, int(np.searchsorted(ends, start + step, side="right")))
+                part = batch.slice(low, high - low)
+                columns = [*part.columns[:-1], compute(part.column(part.num_columns - 1))]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+                low = high
+
+    return rest.withColumn("__in", source).mapInArrow(run, schema)
