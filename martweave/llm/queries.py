@@ -13,6 +13,7 @@ from martweave.llm.fingerprints import with_next_edit
 from martweave.llm.line_dedup import MIN_CHARS, MIN_DOCS, dedup_lines
 from martweave.llm.mixing import ROUNDS, mix, mixing_sql, topic_of
 from martweave.llm.pieces import decode, encode
+from martweave.llm.quality import learnable, score_features, train
 from martweave.llm.sharding import shard_rows, text_rows
 
 PIECE_MODEL = os.environ.get("CORPUS_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -49,6 +50,18 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every text, learned from trusted positives and unlabelled text."""
+    scorer, table = train(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = score_features(table, scorer)
+    return scored.select(
+        "doc_id",
+        (~learnable(F.col("doc_id"))).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The piece ids of every text, and whether decoding gives the text back."""
     docs = documents(spark, sf_dir).select("doc_id", whole_text().alias("text"))
@@ -87,6 +100,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
+    "op3_quality": op3_quality,
     "op4_pieces": op4_pieces,
     "op10_chat": op10_chat,
     "op2_sharding": op2_sharding,
