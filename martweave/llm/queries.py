@@ -15,6 +15,7 @@ from martweave.llm.mixing import ROUNDS, mix, mixing_sql, topic_of
 from martweave.llm.pieces import decode, encode
 from martweave.llm.quality import learnable, score_features, train
 from martweave.llm.sharding import shard_rows, text_rows
+from martweave.llm.substring_dedup import dedup_substrings
 
 PIECE_MODEL = os.environ.get("CORPUS_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 SHARDS = 40
@@ -74,6 +75,12 @@ def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-byte strings that a document with a smaller id holds."""
+    done = dedup_substrings(documents(spark, sf_dir))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents sampled to target shares of source, language and topic."""
     docs = documents(spark, sf_dir).withColumn("topic", topic_of(F.col("text")))
@@ -104,6 +111,7 @@ QUERIES = {
     "op4_pieces": op4_pieces,
     "op10_chat": op10_chat,
     "op2_sharding": op2_sharding,
+    "op5_substrings": op5_substrings,
     "op6_mixing": op6_mixing,
     "op9_line_dedup": op9_line_dedup,
 }
