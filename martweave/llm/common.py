@@ -93,3 +93,37 @@ def add_column(
                 low = high
 
     return rest.withColumn("__in", source).mapInArrow(run, schema)
+
+
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, bool]:
+    """``doc_id``, ``raw`` (the text's bytes, null as empty) and ``id``, and whether ids are unique.
+
+    ``id`` is the document id where ids are unique and not null. Otherwise it
+    numbers the distinct pairs of id (null last) and text in order, so rows that
+    share an id are told apart and rows equal in both share an ``id``.
+    """
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), whole_text(text_col).cast("binary").alias("raw"))
+    known = rows.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
+    if known[0] == known[1]:
+        return rows.select("doc_id", "raw", F.col("doc_id").alias("id")), True
+    rows = rows.withColumn("digest", F.sha2("raw", 256))
+    order = [F.col("doc_id").asc_nulls_last(), F.col("digest")]
+    ranks = numbered(rows.select("doc_id", "digest").distinct(), order, name="id")
+    ranks = ranks.select(F.col("doc_id").alias("rank_doc"), F.col("digest").alias("rank_digest"), "id")
+    same = F.col("doc_id").eqNullSafe(F.col("rank_doc")) & (F.col("digest") == F.col("rank_digest"))
+    return rows.join(ranks, same).select("doc_id", "raw", "id"), False
+
+
+def text_blocks(batches: Iterator[pa.RecordBatch], step: int = 1 << 22) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Ids, concatenated bytes and document ends, for blocks of whole documents of ``id`` and ``raw``."""
+    for batch in batches:
+        ids = batch.column("id").to_numpy(zero_copy_only=False)
+        column = batch.column("raw")
+        offsets = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1]
+        data = np.frombuffer(column.buffers()[2], dtype=np.uint8) if column.buffers()[2] else np.zeros(0, np.uint8)
+        low = 0
+        while low < len(ids):
+            base = int(offsets[low])
+            high = max(low + 1, int(np.searchsorted(offsets, base + step, side="right")) - 1)
+            yield ids[low:high], data[base : offsets[high]], offsets[low + 1 : high + 1].astype(np.int64) - base
+            low = high

@@ -12,6 +12,7 @@ from martweave.llm.common import documents, whole_text
 from martweave.llm.fingerprints import with_next_edit
 from martweave.llm.line_dedup import MIN_CHARS, MIN_DOCS, dedup_lines
 from martweave.llm.mixing import ROUNDS, mix, mixing_sql, topic_of
+from martweave.llm.ngram_join import link_documents
 from martweave.llm.pieces import decode, encode
 from martweave.llm.quality import learnable, score_features, train
 from martweave.llm.sharding import shard_rows, text_rows
@@ -89,6 +90,11 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 4-word shingles are similar to 85 percent."""
+    return link_documents(documents(spark, sf_dir), words=4, percent=85)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that at least three documents share."""
     done = dedup_lines(documents(spark, sf_dir))
@@ -113,6 +119,7 @@ QUERIES = {
     "op2_sharding": op2_sharding,
     "op5_substrings": op5_substrings,
     "op6_mixing": op6_mixing,
+    "op7_ngram_join": op7_ngram_join,
     "op9_line_dedup": op9_line_dedup,
 }
 
