@@ -12,6 +12,7 @@ from martweave.llm.common import documents, whole_text
 from martweave.llm.fingerprints import with_next_edit
 from martweave.llm.line_dedup import MIN_CHARS, MIN_DOCS, dedup_lines
 from martweave.llm.mixing import ROUNDS, mix, mixing_sql, topic_of
+from martweave.llm.neighbours import build_index, search, usable
 from martweave.llm.ngram_join import link_documents
 from martweave.llm.pieces import decode, encode
 from martweave.llm.quality import learnable, score_features, train
@@ -95,6 +96,14 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_documents(documents(spark, sf_dir), words=4, percent=85)
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth vector, from a neighbour graph over all."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    nodes, graph = build_index(vectors)
+    asked = usable(vectors, "vec_id", "embedding").where("vec_id % 100 = 0")
+    return search(asked.withColumnRenamed("vec_id", "query_id"), nodes, graph)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that at least three documents share."""
     done = dedup_lines(documents(spark, sf_dir))
@@ -120,6 +129,7 @@ QUERIES = {
     "op5_substrings": op5_substrings,
     "op6_mixing": op6_mixing,
     "op7_ngram_join": op7_ngram_join,
+    "op8_neighbours": op8_neighbours,
     "op9_line_dedup": op9_line_dedup,
 }
 
