@@ -4,20 +4,30 @@ A text becomes marked words: runs of blanks, each followed by a word. No piece
 holds a blank after another character, so the best segmentation of a text is
 that of its marked words, one by one. The distinct marked words of a slice are
 sorted, which is a trie in depth-first order: going from one word to the next,
-the forward scores of their common prefix stand, and only the rest is scored.
+the forward table of their common prefix stands, and only the rest is computed.
 Each distinct word is segmented once; documents take its ids.
 
-A segmentation is the best sum of the model's piece scores (ties: the longer
-last piece). Characters without a piece cost a little more than the worst piece
-and are written as byte pieces. Texts are not normalised, and blanks are kept,
-so decoding gives back every text exactly.
+The forward table holds, for each prefix, its best segmentation's score and last
+piece. What is best depends on the model file:
+
+* a unigram model: the largest sum of piece scores (ties: the longer last piece);
+* a merge (BPE) model: the segmentation that merging by rank arrives at. It has
+  the property that each pair of neighbouring pieces, merged by itself, stays as
+  it is, and only one segmentation of a prefix has it; so a piece may follow the
+  last piece of a prefix if the two pass that test. The sum of ranks would give
+  other ids than the model's own.
+
+Characters without a piece are written as byte pieces (in a unigram model at a
+little more than the cost of the worst piece). Texts are not normalised, and
+blanks are kept, so decoding gives back every text exactly, also one that holds
+the mark character itself.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
@@ -32,6 +42,7 @@ MARK = "▁"  # stands for a blank in the model's pieces
 _UNKNOWN_PENALTY = 10.0
 _WORDS = re.compile(r" *[^ ]+| +")
 CACHE_WORDS = 200_000
+CACHE_PAIRS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -44,9 +55,18 @@ class Vocabulary:
     bytes_of: tuple[bytes, ...]
     longest: int
     unknown: float
+    merges: bool
+    neighbours: dict[tuple[str, str], bool] = field(default_factory=dict, compare=False, repr=False)
 
     @classmethod
-    def of(cls, pieces: Iterable[tuple[str, float]], byte_ids: Iterable[int], bytes_of: Iterable[bytes], ids=None) -> Vocabulary:
+    def of(
+        cls,
+        pieces: Iterable[tuple[str, float]],
+        byte_ids: Iterable[int],
+        bytes_of: Iterable[bytes],
+        ids: dict[str, int] | None = None,
+        merges: bool = False,
+    ) -> Vocabulary:
         scores = dict(pieces)
         inner = [p for p in scores if " " in p.lstrip(" ")]
         if inner:
@@ -54,7 +74,58 @@ class Vocabulary:
         worst = min(scores.values(), default=0.0)
         ids = ids or {p: i for i, p in enumerate(scores)}
         longest = max(map(len, scores), default=1)
-        return cls(ids, scores, tuple(byte_ids), tuple(bytes_of), longest, worst - _UNKNOWN_PENALTY)
+        return cls(ids, scores, tuple(byte_ids), tuple(bytes_of), longest, worst - _UNKNOWN_PENALTY, merges)
+
+    def stays(self, a: str, b: str) -> bool:
+        """Whether merging the characters of two pieces ends with these pieces."""
+        found = self.neighbours.get((a, b))
+        if found is None:
+            if len(self.neighbours) >= CACHE_PAIRS:
+                self.neighbours.clear()
+            found = self.neighbours[a, b] = merged(a + b, self.scores) == ([a, b] if a else [b])
+        return found
+
+
+def merged(word: str, scores: dict[str, float]) -> list[str]:
+    """Pieces left when the neighbours whose union scores best are joined until none can be."""
+    parts = list(word)
+    while True:
+        best, at = None, 0
+        for i in range(len(parts) - 1):
+            score = scores.get(parts[i] + parts[i + 1])
+            if score is not None and (best is None or score > best):
+                best, at = score, i
+        if best is None:
+            return parts
+        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+
+
+def is_merge_model(path: str) -> bool:
+    """Reads the model type from the file: field 3 of the trainer's settings, which are field 2; 2 means BPE."""
+
+    def number(data: bytes, at: int) -> tuple[int, int]:
+        value, shift = 0, 0
+        while True:
+            byte = data[at]
+            value |= (byte & 127) << shift
+            at, shift = at + 1, shift + 7
+            if byte < 128:
+                return value, at
+
+    def fields(data: bytes) -> Iterator[tuple[int, object]]:
+        at = 0
+        while at < len(data):
+            tag, at = number(data, at)
+            if tag & 7 == 0:
+                value, at = number(data, at)
+            else:
+                size, at = number(data, at) if tag & 7 == 2 else ({1: 8, 5: 4}[tag & 7], at)
+                value, at = data[at : at + size], at + size
+            yield tag >> 3, value
+
+    with open(path, "rb") as file:
+        settings = b"".join(v for k, v in fields(file.read()) if k == 2)
+    return dict(fields(settings)).get(3, 1) == 2
 
 
 @lru_cache(maxsize=2)
@@ -78,13 +149,13 @@ def load(path: str) -> Vocabulary:
             bytes_of.append(plain.encode())
     if len(byte_ids) != 256:
         raise ValueError("the model has no byte pieces")
-    return Vocabulary.of(pieces, (byte_ids[b] for b in range(256)), bytes_of, ids)
+    return Vocabulary.of(pieces, (byte_ids[b] for b in range(256)), bytes_of, ids, is_merge_model(path))
 
 
 def segment_sorted(words: Iterable[str], vocabulary: Vocabulary) -> Iterator[tuple[str, list[int]]]:
-    """Best segmentations of sorted distinct words; scores of shared prefixes are computed once."""
-    scores, ids, longest = vocabulary.scores, vocabulary.ids, vocabulary.longest
-    best, came = [0.0], [0]  # per prefix length: best score, start of its last piece
+    """Best segmentations of sorted distinct words; the table of shared prefixes is computed once."""
+    ids, extend = vocabulary.ids, _by_merges if vocabulary.merges else _by_scores
+    best, pieces = [0.0], [""]  # for each prefix length: its score, its last piece
     last = ""
     for word in words:
         shared = 0
@@ -92,33 +163,46 @@ def segment_sorted(words: Iterable[str], vocabulary: Vocabulary) -> Iterator[tup
             if a != b:
                 break
             shared += 1
-        del best[shared + 1 :], came[shared + 1 :]
+        del best[shared + 1 :], pieces[shared + 1 :]
         for end in range(shared + 1, len(word) + 1):
-            top, start = None, end - 1
-            for begin in range(max(0, end - longest), end):
-                score = scores.get(word[begin:end])
-                if score is not None and (top is None or best[begin] + score > top):
-                    top, start = best[begin] + score, begin
-            if word[end - 1] not in scores:
-                other = best[end - 1] + vocabulary.unknown
-                if top is None or other > top:
-                    top, start = other, end - 1
-            best.append(top)
-            came.append(start)
+            extend(word, end, best, pieces, vocabulary)
         found, end = [], len(word)
         while end:
-            begin = came[end]
-            piece = word[begin:end]
+            piece = pieces[end]
             if piece in ids:
                 found.append(ids[piece])
             else:
                 found.extend(vocabulary.byte_ids[b] for b in reversed(piece.encode()))
-            end = begin
+            end -= len(piece)
         found.reverse()
         last = word
         yield word, found
 
 
+def _by_scores(word: str, end: int, best: list[float], pieces: list[str], vocabulary: Vocabulary) -> None:
+    top, last = None, word[end - 1]
+    for begin in range(max(0, end - vocabulary.longest), end):
+        score = vocabulary.scores.get(word[begin:end])
+        if score is not None and (top is None or best[begin] + score > top):
+            top, last = best[begin] + score, word[begin:end]
+    if word[end - 1] not in vocabulary.scores:
+        other = best[end - 1] + vocabulary.unknown
+        if top is None or other > top:
+            top, last = other, word[end - 1]
+    best.append(top)
+    pieces.append(last)
+
+
+def _by_merges(word: str, end: int, best: list[float], pieces: list[str], vocabulary: Vocabulary) -> None:
+    scores, stays = vocabulary.scores, vocabulary.stays
+    for begin in range(max(0, end - vocabulary.longest), end):
+        piece = word[begin:end]
+        if (piece in scores or begin == end - 1) and stays(pieces[begin], piece):
+            break
+    best.append(0.0)
+    pieces.append(piece)
+
+
 def marked_words(text: str) -> list[str]:
     """The marked words of a text, which gets one blank in front; none for an empty text."""
     return _WORDS.findall(" " + text) if text else []
