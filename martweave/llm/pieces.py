@@ -56,6 +56,7 @@ class Vocabulary:
     longest: int
     unknown: float
     merges: bool
+    ends: dict[str, bool]  # every ending of a piece, and whether it is a piece
     neighbours: dict[tuple[str, str], bool] = field(default_factory=dict, compare=False, repr=False)
 
     @classmethod
@@ -73,8 +74,9 @@ class Vocabulary:
             raise ValueError(f"pieces with a blank after another character: {inner[:3]}")
         worst = min(scores.values(), default=0.0)
         ids = ids or {p: i for i, p in enumerate(scores)}
+        ends = {p[i:]: False for p in scores for i in range(1, len(p))} | dict.fromkeys(scores, True)
         longest = max(map(len, scores), default=1)
-        return cls(ids, scores, tuple(byte_ids), tuple(bytes_of), longest, worst - _UNKNOWN_PENALTY, merges)
+        return cls(ids, scores, tuple(byte_ids), tuple(bytes_of), longest, worst - _UNKNOWN_PENALTY, merges, ends)
 
     def stays(self, a: str, b: str) -> bool:
         """Whether merging the characters of two pieces ends with these pieces."""
@@ -180,11 +182,16 @@ def segment_sorted(words: Iterable[str], vocabulary: Vocabulary) -> Iterator[tup
 
 
 def _by_scores(word: str, end: int, best: list[float], pieces: list[str], vocabulary: Vocabulary) -> None:
-    top, last = None, word[end - 1]
-    for begin in range(max(0, end - vocabulary.longest), end):
-        score = vocabulary.scores.get(word[begin:end])
-        if score is not None and (top is None or best[begin] + score > top):
-            top, last = best[begin] + score, word[begin:end]
+    top, last, ends = None, word[end - 1], vocabulary.ends
+    for begin in range(end - 1, -1, -1):
+        piece = word[begin:end]
+        known = ends.get(piece)
+        if known:
+            score = best[begin] + vocabulary.scores[piece]
+            if top is None or score >= top:
+                top, last = score, piece
+        elif known is None:
+            break
     if word[end - 1] not in vocabulary.scores:
         other = best[end - 1] + vocabulary.unknown
         if top is None or other > top:
@@ -194,10 +201,17 @@ def _by_scores(word: str, end: int, best: list[float], pieces: list[str], vocabu
 
 
 def _by_merges(word: str, end: int, best: list[float], pieces: list[str], vocabulary: Vocabulary) -> None:
-    scores, stays = vocabulary.scores, vocabulary.stays
-    for begin in range(max(0, end - vocabulary.longest), end):
+    ends, neighbours = vocabulary.ends, vocabulary.neighbours
+    for begin in range(end - 1, -1, -1):
         piece = word[begin:end]
-        if (piece in scores or begin == end - 1) and stays(pieces[begin], piece):
+        known = ends.get(piece)
+        if known or begin == end - 1:
+            pair = (pieces[begin], piece)
+            stays = neighbours.get(pair)
+            if stays or stays is None and vocabulary.stays(*pair):
+                break
+        if known is None:
+            piece = word[end - 1]
             break
     best.append(0.0)
     pieces.append(piece)
