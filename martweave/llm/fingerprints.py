@@ -22,8 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from martweave.llm.common import partitions, settled, whole_text
+from martweave.llm.common import add_column, partitions, settled, whole_text
 from martweave.llm.rolling import Rolling, mixed
 
 K, L, M = 8, 2, 64
@@ -94,12 +95,11 @@ def add_fingerprints(docs: DataFrame, text_col: str = "text", name: str = "finge
     A null or empty text has the empty fingerprint; equal texts have equal
     fingerprints. A column called ``name`` is replaced, all others stay.
     """
-    import pandas as pd
 
-    def sign(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: written(signature(t, k, l, m)))
+    def compute(texts: pa.Array) -> pa.Array:
+        return pa.array([written(signature(t, k, l, m)) for t in texts.to_pylist()], pa.string())
 
-    return docs.withColumn(name, F.pandas_udf(sign, "string")(whole_text(text_col)))
+    return add_column(docs, name, T.StringType(), whole_text(text_col), compute)
 
 
 _MID = (
