@@ -2,8 +2,9 @@
 
 The usual route through the package::
 
-    files    = landing.check_files(spark, "s3a://.../landing")      # header gate
-    fact     = sales_csv.read_sales(spark, files)                    # one typed sales fact
+    paths    = landing.list_files(spark, "s3a://.../landing")
+    verdicts = landing.check_files(spark, paths)                      # header gate
+    fact     = sales_csv.read_sales(spark, landing.require_accepted(verdicts))   # one typed sales fact
     dims     = Dimensions(customer, store, sales_team)               # measured once
     detail   = enrich(fact, dims)                                    # inner joins
     monthly  = marts.sales_person_incentive(fact, dims)              # ranked totals

@@ -88,3 +88,4 @@ STARTED = "A"
 DONE = "I"
 
 INCENTIVE_RATE = "0.10"
+REFUSED = "R"

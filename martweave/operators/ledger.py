@@ -1,7 +1,9 @@
 """The run ledger as an append-only table of events.
 
-An event says that a file was started (``A``) or done (``I``). Nothing is updated
-in place: the state of a file follows from its latest events.
+An event says that a file was started (``A``), done (``I``) or refused by the
+header gate (``R``). Nothing is updated in place: the state of a file follows
+from its latest events. A file is a path with a length and a modification time,
+so a new delivery under an old name is a new file.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martweave.contract import DONE, STARTED
+from martweave.contract import DONE, REFUSED, STARTED
 
 EVENT_SCHEMA = T.StructType(
     [
@@ -23,6 +25,10 @@ EVENT_SCHEMA = T.StructType(
         T.StructField("event_time", T.TimestampType()),
     ]
 )
+# As stored: with the version of the file.
+STORED_SCHEMA = T.StructType(
+    [*EVENT_SCHEMA.fields, T.StructField("length", T.LongType()), T.StructField("modified", T.TimestampType())]
+)
 
 log = logging.getLogger(__name__)
 
@@ -39,7 +45,8 @@ def file_states(events: DataFrame) -> DataFrame:
     """
     at = F.col("event_time")
     return (
-        events.groupBy("file_name")
+        events.where(F.col("status").isin(STARTED, DONE))
+        .groupBy("file_name")
         .agg(
             F.max(F.when(F.col("status") == STARTED, at)).alias("started"),
             F.max(F.when(F.col("status") == DONE, at)).alias("done"),
@@ -90,23 +97,40 @@ class Ledger:
     def events(self) -> DataFrame:
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         if not folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder):
-            return self.spark.createDataFrame([], EVENT_SCHEMA)
-        return self.spark.read.schema(EVENT_SCHEMA).parquet(self.path)
+            return self.spark.createDataFrame([], STORED_SCHEMA)
+        return self.spark.read.schema(STORED_SCHEMA).parquet(self.path)
 
     def mark(self, files: DataFrame, status: str, run_id: str) -> None:
-        """Appends one event per file of ``files(path, file_name)``."""
+        """Appends one event per file of ``files(path, file_name)``, with its ``length`` and ``modified`` if given."""
+        version = [F.col(c) if c in files.columns else F.lit(None) for c in ("length", "modified")]
         files.select(
             "file_name",
             F.col("path").alias("file_location"),
             F.lit(run_id).alias("run_id"),
             F.lit(status).alias("status"),
             F.current_timestamp().alias("event_time"),
+            version[0].cast("bigint").alias("length"),
+            version[1].cast("timestamp").alias("modified"),
         ).write.mode("append").parquet(self.path)
 
     def not_done(self, files: DataFrame) -> DataFrame:
-        """Files whose location has not been finished by any run."""
-        done = self.events().where(F.col("status") == DONE).select(F.col("file_location").alias("path"))
-        return files.join(done, "path", "left_anti")
+        """Files whose present version no run has finished or refused.
+
+        Without ``length`` and ``modified`` in ``files``, any version of the path counts.
+        """
+        seen = self.events().where(F.col("status").isin(DONE, REFUSED)).select(
+            F.col("file_location").alias("seen_path"),
+            F.col("length").alias("seen_length"),
+            F.col("modified").alias("seen_modified"),
+        )
+        same = F.col("path") == F.col("seen_path")
+        if "length" in files.columns:
+            same &= F.col("length").eqNullSafe(F.col("seen_length")) & F.col("modified").eqNullSafe(F.col("seen_modified"))
+        return files.join(seen, same, "left_anti")
+
+    def is_finished(self, run_id: str) -> bool:
+        """Whether the run has marked files as done."""
+        return not self.events().where((F.col("status") == DONE) & (F.col("run_id") == run_id)).isEmpty()
 
     def finished_runs(self) -> DataFrame:
         """``(run_id)`` of the runs that marked files as done."""
@@ -114,10 +138,10 @@ class Ledger:
 
     def check(self, landed: DataFrame, on_unfinished: str = "warn") -> None:
         """Warns of unfinished files, or raises with ``on_unfinished="fail"``."""
-        names = [r[0] for r in unfinished(self.events(), landed).limit(20).collect()]
+        names = sorted(r[0] for r in unfinished(self.events(), landed).collect())
         if not names:
             return
-        text = f"an earlier run did not finish, e.g. {names}"
+        text = f"an earlier run did not finish {len(names)} files: {names}"
         if on_unfinished == "fail":
             raise UnfinishedRunError(text)
         log.warning(text)

@@ -25,7 +25,7 @@ from martweave.sinks import jdbc as jdbc_sink
 from martweave.sources import jdbc as jdbc_source
 from martweave.sources import landing, sales_csv
 from martweave.sources.retail_tables import open_tables
-from martweave.streaming.pickup import start_pickup
+from martweave.streaming.pickup import run_id_of, start_pickup
 from martweave.workspace import is_local, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,16 +162,42 @@ def quarantined_lines(spark, folder):
     _, verdicts = _checked(spark, folder)
     target = new_folder(spark, "quarantine")
     quarantine.write_quarantine(spark, verdicts, target, "run")
-    kept = spark.read.parquet(f"{target}/reasons")
-    headers = verdicts.where("header is not null").select("header").distinct()
+    return _data_lines(spark, target).select("reason", "value")
+
+
+def _data_lines(spark, quarantined: str) -> DataFrame:
+    """``path, reason, value`` of all quarantined lines but each CSV file's own header."""
+    kept = spark.read.parquet(f"{quarantined}/reasons").select("path", "origin", "reason", "header")
     return (
-        spark.read.text(f"{target}/lines")
-        .join(kept.select("file_name", F.col("reason")), "file_name")
-        .join(headers, F.col("value") == F.col("header"), "left_anti")
-        .select("reason", "value")
+        spark.read.text(f"{quarantined}/lines")
+        .join(kept, "origin")
+        .where(F.col("header").isNull() | (F.col("value") != F.col("header")))
+        .select("path", "reason", "value")
     )
 
 
+def quarantined_files_of_one_name(spark, folder):
+    """All sales as rejected files whose names occur in two folders: data lines of each folder."""
+    sales, landed = open_tables(spark, folder).sales_fact(), new_folder(spark, "landing")
+    early = "sales_date < '1998-01-01'"
+    columns = [c for c in MANDATORY_COLUMNS if c != "store_id"]
+    for name, part in (("early", sales.where(early)), ("late", _others(sales, early))):
+        deliveries.land_named(part, f"{landed}/{name}", "bad", columns)
+    target = new_folder(spark, "quarantine")
+    verdicts = landing.check_files(spark, landing.list_files(spark, landed))
+    quarantine.write_quarantine(spark, verdicts, target, "run")
+    return (
+        _data_lines(spark, target)
+        .groupBy(F.element_at(F.split("path", "/"), -2).alias("folder"), "reason")
+        .agg(F.count(F.lit(1)).alias("data_lines"))
+    )
+
+
+def _others(rows: DataFrame, condition: str) -> DataFrame:
+    """The rows that ``condition`` leaves out, those it cannot tell included."""
+    return rows.where(f"NOT ({condition}) OR ({condition}) IS NULL")
+
+
 def extras_folded(spark, folder):
     """All accepted sales with their folded extra columns."""
     _, verdicts = _checked(spark, folder)
@@ -318,9 +344,10 @@ def stream_pickup_count(spark, folder):
         accepted = landing.require_accepted(landing.check_files(spark, paths))
         files.write_snapshot(sales_csv.read_sales(spark, accepted), target, batch_id)
 
-    for part in ("sales_date < '1998-01-01'", "sales_date >= '1998-01-01'", None):
-        if part:
-            deliveries.land_clean(sales.where(part), landed)
+    early = "sales_date < '1998-01-01'"
+    for part in (sales.where(early), _others(sales, early), None):
+        if part is not None:
+            deliveries.land_clean(part, landed)
         start_pickup(spark, landed, checkpoint, handle).awaitTermination()
     return comparable(
         spark.read.parquet(target)
@@ -333,8 +360,8 @@ def recomputed_months(spark, folder):
     """Months that arrive in two deliveries: monthly totals over both."""
     sales, dims = _inputs(spark, folder)
     store = batch.MartStore(new_folder(spark, "marts"))
-    for status in ("F", "O"):
-        delivery = sales.where(F.col("line_status") == status).drop("return_flag", "line_status")
+    for status, part in (("F", sales.where("line_status = 'F'")), ("O", _others(sales, "line_status = 'F'"))):
+        delivery = part.drop("return_flag", "line_status")
         delivery = delivery.withColumn("sales_month", month_key("sales_date"))
         files.write_snapshot(delivery, store.fact, f"run-{status}", by=("sales_month",))
         months = batch.read_fact(spark, store, f"run-{status}").select("sales_month").distinct()
@@ -352,6 +379,118 @@ def landed_sales_to_marts(spark, folder):
     return comparable(spark.read.parquet(store.sales_person_incentive))
 
 
+def landing_read_twice(spark, folder):
+    """Two runs over one landing that keeps its files: every sale counts once."""
+    sales, dims = _inputs(spark, folder)
+    landed, store = new_folder(spark, "landing"), batch.MartStore(new_folder(spark, "marts"))
+    deliveries.land_clean(sales, landed)
+    for run in ("day-1", "day-2"):
+        batch.run_batch(spark, landing.list_files(spark, landed), dims, store, run)
+    return comparable(spark.read.parquet(store.sales_person_incentive))
+
+
+def redelivered_file_counts(spark, folder):
+    """Files rewritten with other sales under the same names: both versions count."""
+    sales, dims = _inputs(spark, folder)
+    landed, store = new_folder(spark, "landing"), batch.MartStore(new_folder(spark, "marts"))
+    early = "sales_date < '1998-01-01'"
+    for run, part in (("day-1", sales.where(early)), ("day-2", _others(sales, early))):
+        deliveries.land_named(part, landed, "sales")
+        batch.run_batch(spark, landing.list_files(spark, landed), dims, store, run)
+    return comparable(spark.read.parquet(store.sales_person_incentive))
+
+
+def _pick_up(spark, landed: str, checkpoint: str, dims: Dimensions, store: batch.MartStore) -> None:
+    def handle(paths, number):
+        run = run_id_of(spark, checkpoint, number)
+        batch.run_batch(spark, paths, dims, store, run, require_input=False)
+
+    start_pickup(spark, landed, checkpoint, handle).awaitTermination()
+
+
+def pickup_after_rejected_delivery(spark, folder):
+    """All sales without a mandatory column, which are refused, and then all sales as they should be."""
+    sales, dims = _inputs(spark, folder)
+    landed, store = new_folder(spark, "landing"), batch.MartStore(new_folder(spark, "marts"))
+    checkpoint = new_folder(spark, "pickup")
+    for name, columns in (("bad", [c for c in MANDATORY_COLUMNS if c != "store_id"]), ("good", MANDATORY_COLUMNS)):
+        deliveries.land_named(sales, landed, name, columns)
+        _pick_up(spark, landed, checkpoint, dims, store)
+    return comparable(spark.read.parquet(store.sales_person_incentive))
+
+
+def pickup_with_new_checkpoint(spark, folder):
+    """A second checkpoint that sees old and new files: old sales are neither erased nor counted again."""
+    sales, dims = _inputs(spark, folder)
+    landed, store = new_folder(spark, "landing"), batch.MartStore(new_folder(spark, "marts"))
+    early = "sales_date < '1998-01-01'"
+    for part in (sales.where(early), _others(sales, early)):
+        deliveries.land_clean(part, landed)
+        _pick_up(spark, landed, new_folder(spark, "pickup"), dims, store)
+    return comparable(spark.read.parquet(store.sales_person_incentive))
+
+
+def rerun_moves_months(spark, folder):
+    """A run that did not finish, repeated with sales in other months: the first months go."""
+    sales, dims = _inputs(spark, folder)
+    landed, store = new_folder(spark, "landing"), batch.MartStore(new_folder(spark, "marts"))
+
+    class Lost(RuntimeError):
+        pass
+
+    def lose():
+        raise Lost
+
+    deliveries.land_named(sales.withColumn("sales_date", F.add_months("sales_date", 240)), landed, "sales")
+    try:
+        batch.run_batch(spark, landing.list_files(spark, landed), dims, store, "run", publish=lose)
+    except Lost:
+        pass
+    deliveries.land_named(sales, landed, "sales")
+    batch.run_batch(spark, landing.list_files(spark, landed), dims, store, "run")
+    return comparable(spark.read.parquet(store.customer_monthly))
+
+
+def month_loses_partners(spark, folder):
+    """Sales of one nation's customers in months of their own, which go when the dimension loses these customers."""
+    tables = open_tables(spark, folder)
+    sales, dims = _inputs(spark, folder)
+    leaving = tables.customer().where("pincode = '3'").select(F.col("customer_id").alias("leaving"))
+    moved = F.when(F.col("leaving").isNull(), F.col("sales_date")).otherwise(F.add_months("sales_date", 240))
+    sales = sales.join(leaving, F.col("customer_id") == F.col("leaving"), "left").withColumn("sales_date", moved)
+    landed, store = new_folder(spark, "landing"), batch.MartStore(new_folder(spark, "marts"))
+    deliveries.land_clean(sales, landed)
+    batch.run_batch(spark, landing.list_files(spark, landed), dims, store, "run")
+    months = batch.read_fact(spark, store).select("sales_month").distinct()
+    staying = Dimensions(tables.customer().where("pincode <> '3'"), tables.store(), tables.sales_team())
+    batch.recompute_months(spark, months, staying, store)
+    return comparable(spark.read.parquet(store.customer_monthly))
+
+
+def dimensions_from_database(spark, folder):
+    """The incentive mart with all three dimensions read from a database."""
+    tables, url = open_tables(spark, folder), _database(spark)
+    for name, rows in (("customer", tables.customer()), ("store", tables.store()), ("sales_team", tables.sales_team())):
+        jdbc_sink.rewrite_table(rows, url, name, {})
+    dims = jdbc_source.read_dimensions(spark, url, {})
+    return comparable(marts.sales_person_incentive(tables.sales_fact(), dims))
+
+
+def stream_pickup_archived(spark, folder):
+    """Three pickups that archive what they have handed over: landing and archive hold all sales."""
+    sales = open_tables(spark, folder).sales_fact()
+    landed, archive, checkpoint = (new_folder(spark, n) for n in ("landing", "archive", "pickup"))
+    early = "sales_date < '1998-01-01'"
+    for part in (sales.where(early), _others(sales, early), None):
+        if part is not None:
+            deliveries.land_clean(part, landed)
+        start_pickup(spark, landed, checkpoint, lambda paths, number: None, archive=archive).awaitTermination()
+    lines = spark.read.option("recursiveFileLookup", "true").option("header", "true").csv([landed, archive])
+    return lines.agg(
+        F.count(F.lit(1)).alias("sales"), F.sum(F.col("total_cost").cast("decimal(18,2)")).cast("double").alias("amount")
+    )
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -386,5 +525,14 @@ QUERIES: dict[str, Query] = {
         stream_pickup_count,
         recomputed_months,
         landed_sales_to_marts,
+        landing_read_twice,
+        redelivered_file_counts,
+        pickup_after_rejected_delivery,
+        pickup_with_new_checkpoint,
+        rerun_moves_months,
+        month_loses_partners,
+        quarantined_files_of_one_name,
+        dimensions_from_database,
+        stream_pickup_archived,
     )
 }

@@ -72,6 +72,21 @@ def land_clean(rows: DataFrame, landing: str) -> None:
     rows.select(*MANDATORY_COLUMNS).write.mode("append").option("header", "true").csv(landing)
 
 
+def land_named(rows: DataFrame, landing: str, name: str, columns: list[str] = MANDATORY_COLUMNS, files: int = 8) -> None:
+    """Lands ``rows`` as ``name-0.csv``, ``name-1.csv`` ..., replacing files of these names."""
+    spark = rows.sparkSession
+    written = new_folder(spark, "named")
+    rows.select(*columns).repartition(files).write.option("header", "true").csv(written)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    system = hadoop.Path(landing).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(hadoop.Path(landing))
+    parts = sorted(s.getPath().toString() for s in system.globStatus(hadoop.Path(written, "part-*.csv")))
+    for i, part in enumerate(parts):
+        target = hadoop.Path(landing, f"{name}-{i}.csv")
+        system.delete(target, False)
+        system.rename(hadoop.Path(part), target)
+
+
 def delivery_of(path: Column) -> Column:
     """The delivery named in a landed file's path."""
     return F.regexp_extract(path, "delivery=([a-z_]+)", 1)

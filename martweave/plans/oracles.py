@@ -195,6 +195,23 @@ FROM fact GROUP BY 1""",
     "recomputed_months": f"{_JOINED} {_CUSTOMER_MONTHLY}",
     "landed_sales_to_marts": f"{_JOINED}, {_INCENTIVE}",
 }
+ORACLES["month_loses_partners"] = f"""{_JOINED} SELECT * FROM ({_CUSTOMER_MONTHLY})
+WHERE customer_id IN (SELECT customer_id FROM ct WHERE pincode <> '3')"""
+ORACLES["rerun_moves_months"] = ORACLES["customer_monthly_mart"]
+ORACLES["quarantined_files_of_one_name"] = f"""WITH {_FACT}
+SELECT CASE WHEN sales_date < DATE '1998-01-01' THEN 'early' ELSE 'late' END AS folder, 'missing columns' AS reason,
+       count(*) AS data_lines
+FROM fact GROUP BY ALL"""
+ORACLES["stream_pickup_archived"] = f"""WITH {_FACT}
+SELECT count(*) AS sales, CAST(sum(total_cost) AS DOUBLE) AS amount FROM fact"""
+for _name in (
+    "landing_read_twice",
+    "redelivered_file_counts",
+    "pickup_after_rejected_delivery",
+    "pickup_with_new_checkpoint",
+    "dimensions_from_database",
+):
+    ORACLES[_name] = ORACLES["sales_person_incentive"]
 ORACLES["parquet_mart_readback"] = ORACLES["customer_detail_mart"]
 ORACLES["partitioned_mart_readback"] = ORACLES["sales_team_detail_mart"]
 ORACLES["snapshot_partitioned_readback"] = ORACLES["sales_team_detail_mart"]

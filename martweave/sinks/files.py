@@ -31,6 +31,14 @@ def write_partitioned(frame: DataFrame, path: str, by: tuple[str, ...] = SALES_P
         )
 
 
+def drop_partitions(spark: SparkSession, path: str, column: str, values: list[str | None]) -> None:
+    """Removes the folders of partitions that have no row any more."""
+    for value in values:
+        name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={name}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_snapshot(frame: DataFrame, path: str, run_ts: int | str, by: tuple[str, ...] = ()) -> None:
     """Writes one version below ``path/run_ts=<run_ts>/``; a repeat replaces that version.
 

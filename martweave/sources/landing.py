@@ -6,8 +6,11 @@ path texts such as ``s3a://bucket/landing/day one.csv``, without URL encoding.
 
 from __future__ import annotations
 
+import logging
 import re
-from functools import partial
+from collections.abc import Callable
+from functools import partial, reduce
+from typing import BinaryIO
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,15 +20,26 @@ from pyspark.sql import types as T
 from martweave.contract import MANDATORY_COLUMNS
 from martweave.workspace import as_table
 
+log = logging.getLogger(__name__)
+
 ACCEPTED = "accepted"
 REJECTED = "rejected"
 
 NOT_CSV = "not a csv file"
 MISSING_COLUMNS = "missing columns"
 
+HIDDEN_NAME = "hidden name, which readers skip"
+
 # Files of these file systems are opened directly to read their first line. Add
-# others ("s3a", "hdfs") where the executors' Arrow library can open them.
+# others where the executors can open them: by the Arrow library under the name
+# in ARROW_SCHEMES, or by an opener that the caller passes.
 DIRECT_SCHEMES = ("file",)
+# What the Arrow library calls the file systems that Hadoop names otherwise.
+ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+Opener = Callable[[str], BinaryIO]
+
+# The CSV reader's own limit.
+_MOST_COLUMNS = 20480
 
 _PATHS_PER_TASK = 256
 _PATH_SCHEMA = T.StructType([T.StructField("path", T.StringType(), False)])
@@ -57,12 +71,54 @@ def file_name(path: Column) -> Column:
 
 
 def list_files(spark: SparkSession, landing: str) -> list[str]:
-    """All files below ``landing``, zero-byte files included.
+    """All files below ``landing``, zero-byte files and hidden CSV files included.
 
-    This is the listing Spark makes for any read: names only, no content.
+    The listing Spark makes for any read (names only, no content), and the CSV
+    files that it hides because their names begin with ``_`` or ``.``.
     """
     listed = spark.read.option("recursiveFileLookup", "true").text(landing).inputFiles()
-    return sorted(plain_path(url) for url in listed)
+    return sorted({*(plain_path(url) for url in listed), *hidden_csv_files(spark, landing)})
+
+
+def hidden_csv_files(spark: SparkSession, landing: str) -> list[str]:
+    """CSV files below ``landing`` whose own name begins with ``_`` or ``.``.
+
+    Hidden folders are left alone: they belong to writers that are at work.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(landing)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(root):
+        return []
+    found, folders = [], [root]
+    while folders:
+        folder = folders.pop()
+        names = spark._jvm.org.apache.hadoop.fs.Path(folder, "[_.]*.csv")
+        found += [s.getPath().toString() for s in system.globStatus(names) or [] if s.isFile()]
+        folders += [
+            s.getPath()
+            for s in system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(folder, "*")) or []
+            if s.isDirectory() and s.getPath().getName()[0] not in "_."
+        ]
+    return [plain_path(p) for p in found]
+
+
+def is_hidden(name: Column) -> Column:
+    return name.rlike("^[_.]")
+
+
+def file_identities(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``(path, length, modified)``: the version of each file, for telling a new delivery under an old name.
+
+    Spark's own listing of the paths; contents are not read. Files that readers
+    skip are not in it.
+    """
+    visible = [reader_path(p) for p in paths if p.rsplit("/", 1)[-1][:1] not in ("_", ".")]
+    if not visible:
+        return spark.createDataFrame([], "path string, length bigint, modified timestamp")
+    listed = spark.read.format("binaryFile").load(visible)
+    return listed.select(
+        metadata_path().alias("path"), "length", F.col("modificationTime").alias("modified")
+    ).dropDuplicates(["path"])
 
 
 def as_file_frame(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -76,32 +132,46 @@ def as_file_frame(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
-def _header_reader(chunk_bytes: int = 1 << 16):
+def _header_reader(chunk_bytes: int = 1 << 16, opener: Opener | None = None):
     """A task function from Arrow batches of paths to batches of (path, header).
 
     Everything it needs is nested, so it reaches executors that do not have this
     package installed.
     """
+    schemes = dict(ARROW_SCHEMES)
 
     def first_line(stream) -> str | None:
-        """The first line that is not blank, read in small chunks; None when there is none."""
-        data, ended = b"", False
-        while not ended:
+        """The first line that is not blank, read in small chunks; None when there is none.
+
+        Each chunk is searched once for line ends, and a long line is joined once.
+        """
+        parts, begun = [], False
+        while True:
             chunk = stream.read(chunk_bytes)
-            ended = not chunk
-            data += chunk
-            lines = data.removeprefix(b"\xef\xbb\xbf").splitlines()
-            for line in lines if ended else lines[:-1]:
+            if chunk and not begun:
+                chunk, begun = chunk.removeprefix(b"\xef\xbb\xbf"), True
+            *whole, rest = chunk.replace(b"\r", b"\n").split(b"\n") if chunk else (b"", b"")
+            for line in whole:
+                line = b"".join([*parts, line])
+                parts = []
                 if line.strip(bytes(range(33))):
                     return line.decode("utf-8", "replace")
-        return None
+            if not chunk:
+                return None
+            parts.append(rest)
 
-    def header_of(path: str) -> str | None:
+    def open_directly(path: str):
         from pyarrow import fs
 
         local = path.removeprefix("file:")
-        system, inner = (fs.LocalFileSystem(), local) if local.startswith("/") else fs.FileSystem.from_uri(path)
-        with system.open_input_stream(inner, compression=None) as stream:
+        if local.startswith("/"):
+            return fs.LocalFileSystem().open_input_stream(local, compression=None)
+        scheme, rest = path.split(":", 1)
+        system, inner = fs.FileSystem.from_uri(f"{schemes.get(scheme, scheme)}:{rest}")
+        return system.open_input_stream(inner, compression=None)
+
+    def header_of(path: str) -> str | None:
+        with (opener or open_directly)(path) as stream:
             return first_line(stream)
 
     def read(batches):
@@ -126,18 +196,23 @@ def _scan_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
     return lines.groupBy("path").agg(F.min_by("value", "position").alias("header"))
 
 
-def read_headers(spark: SparkSession, csv_paths: list[str], direct_schemes=DIRECT_SCHEMES) -> DataFrame:
+def read_headers(
+    spark: SparkSession, csv_paths: list[str], direct_schemes=DIRECT_SCHEMES, opener: Opener | None = None
+) -> DataFrame:
     """``(path, header)``: the first line of each file, NULL when it has none.
 
     One job for all files. With a directly readable file system, tasks open their
     share of the files and stop after the first line; the data are not scanned.
+    ``opener`` opens a path of the direct schemes on an executor. Files of other
+    schemes are scanned whole, which is logged.
     """
     direct = [p for p in csv_paths if p.split(":", 1)[0] in direct_schemes]
     other = [p for p in csv_paths if p.split(":", 1)[0] not in direct_schemes]
     parts = []
     if direct:
-        parts.append(as_file_frame(spark, direct).select("path").mapInArrow(_header_reader(), _HEADER_SCHEMA))
+        parts.append(as_file_frame(spark, direct).select("path").mapInArrow(_header_reader(opener=opener), _HEADER_SCHEMA))
     if other:
+        log.warning("%d files are read whole for their headers; see direct_schemes", len(other))
         parts.append(_scan_headers(spark, other))
     if not parts:
         return spark.createDataFrame([], _HEADER_SCHEMA)
@@ -154,27 +229,66 @@ def header_columns(spark: SparkSession, headers: list[str]) -> DataFrame:
     return spark.createDataFrame(rows, "header string, columns array<string>")
 
 
-def check_files(spark: SparkSession, paths: list[str], direct_schemes=DIRECT_SCHEMES) -> DataFrame:
+def junk_columns(headers: DataFrame) -> DataFrame:
+    """``(header, columns)`` of ``headers(header)`` that cannot be accepted, in one distributed step.
+
+    Spark's CSV parser splits them. Names are made unique as its reader does: a
+    blank one becomes ``_c`` and its position, a repeated one gets its position.
+    """
+    commas = F.length("header") - F.length(F.replace("header", F.lit(","))) + 1
+    widest = headers.agg(F.max(commas)).first()[0]
+    names = [f"c{i}" for i in range(min(int(widest or 1), _MOST_COLUMNS))]
+    cells = F.from_csv("header", ", ".join(f"{n} string" for n in names))
+    given = headers.withColumn("cells", cells).select(
+        "header", F.slice(F.array(*[F.col(f"cells.{n}") for n in names]), F.lit(1), commas).alias("given")
+    )
+
+    def unique(name: Column, at: Column) -> Column:
+        again = F.size(F.filter("given", lambda other: F.lower(other) == F.lower(name))) > 1
+        return (
+            F.when(name.isNull() | (name == ""), F.concat(F.lit("_c"), at.cast("string")))
+            .when(again, F.concat(name, at.cast("string")))
+            .otherwise(name)
+        )
+
+    return given.select("header", F.transform("given", unique).alias("columns"))
+
+
+def check_files(
+    spark: SparkSession,
+    paths: list[str],
+    direct_schemes=DIRECT_SCHEMES,
+    require_csv: bool = True,
+    opener: Opener | None = None,
+) -> DataFrame:
     """The verdict table, one row per file.
 
-    ``path, file_name, header, columns, missing, extras, verdict, reason``. A file
-    is accepted when its name ends in ``.csv`` and its header holds every
-    mandatory column, compared case-sensitively; extra columns are allowed.
-    Raises ``NoInputError`` without any file or any CSV file.
+    ``path, file_name, header, columns, missing, extras, verdict, reason``, and the
+    file's version: ``length, modified``. A file is accepted when its name ends in
+    ``.csv`` and is not hidden, and its header holds every mandatory column,
+    compared case-sensitively; extra columns are allowed. Raises ``NoInputError``
+    without any file, and with ``require_csv`` without any CSV file.
     """
     if not paths:
         raise NoInputError("no data available to process")
-    csv_paths = [p for p in paths if p.endswith(".csv")]
-    if not csv_paths:
+    paths = sorted(set(paths))
+    csv_paths = [p for p in paths if p.endswith(".csv") and p.rsplit("/", 1)[-1][:1] not in ("_", ".")]
+    if require_csv and not csv_paths:
         raise NoInputError("no CSV files to process")
-    headers = as_table(read_headers(spark, csv_paths, direct_schemes), "headers")
-    distinct = [r[0] for r in headers.where("header is not null").select("header").distinct().collect()]
-    parsed = header_columns(spark, distinct)
+    headers = as_table(read_headers(spark, csv_paths, direct_schemes, opener), "headers")
+    distinct = headers.where("header is not null").select("header").distinct()
+    # Only headers that may be complete are parsed one by one; there are few, as each is a table shape.
+    complete = reduce(lambda a, b: a & b, [F.contains("header", F.lit(c)) for c in MANDATORY_COLUMNS])
+    parsed = header_columns(spark, [r[0] for r in distinct.where(complete).collect()]).unionByName(
+        junk_columns(distinct.where(~complete))
+    )
     required = F.array(*[F.lit(c) for c in MANDATORY_COLUMNS])
     found = F.coalesce(F.col("columns"), F.array().cast("array<string>"))
-    accepted = F.col("is_csv") & (F.size("missing") == 0)
+    hidden = is_hidden(F.col("file_name"))
+    accepted = F.col("is_csv") & ~hidden & (F.size("missing") == 0)
     return (
         as_file_frame(spark, paths)
+        .join(file_identities(spark, paths), "path", "left")
         .join(headers, "path", "left")
         .join(parsed, "header", "left")
         .withColumn("missing", F.array_except(required, found))
@@ -187,7 +301,12 @@ def check_files(spark: SparkSession, paths: list[str], direct_schemes=DIRECT_SCH
             "missing",
             "extras",
             F.when(accepted, ACCEPTED).otherwise(REJECTED).alias("verdict"),
-            F.when(~F.col("is_csv"), NOT_CSV).when(F.size("missing") > 0, MISSING_COLUMNS).alias("reason"),
+            F.when(~F.col("is_csv"), NOT_CSV)
+            .when(hidden, HIDDEN_NAME)
+            .when(F.size("missing") > 0, MISSING_COLUMNS)
+            .alias("reason"),
+            "length",
+            "modified",
         )
     )
 

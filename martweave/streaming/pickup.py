@@ -3,19 +3,28 @@
 The stream only finds new files; each micro-batch is an ordinary batch run. The
 checkpoint remembers which files were handed over. A failed micro-batch is
 repeated with the same number and the same files, so ``handle`` must be
-repeatable; ``run_batch`` is, with a run id made from that number.
+repeatable; ``run_batch`` is. Numbers start again with every checkpoint, so a run
+id needs the checkpoint's id as well: ``run_id_of``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
 _FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
+def run_id_of(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
+    """A run id that no other checkpoint gives: the id that the stream keeps in it, and the number."""
+    metadata = spark.read.text(f"{checkpoint}/metadata").first()[0]
+    return f"pickup-{json.loads(metadata)['id']}-{batch_id}"
+
+
 def start_pickup(
     spark: SparkSession,
     landing: str,
