@@ -17,12 +17,16 @@ from martweave.llm.mixing import mix, topic_of
 from martweave.llm.ngram_join import group_similar
 from martweave.llm.pieces import encode
 from martweave.llm.quality import score_texts, train
-from martweave.llm.queries import MIX_SEED, MIX_TARGETS, PIECE_MODEL
+from martweave.llm.queries import MIX_SEED, PIECE_MODEL
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 WORDS, PERCENT = 5, 80
-# No document is kept with less than this probability, so mixing thins a source and never empties it.
-LEAST_PROBABILITY = 0.5
+# Shares of tokens, near those of a cleaned crawl: mixing corrects it and keeps most of it.
+TARGETS = {
+    "source": {"src1": 0.036, "src2": 0.036, "src3": 0.036, "src4": 0.036},
+    "lang": {"de": 0.14, "fr": 0.13, "es": 0.11},
+    "topic": {"short": 0.012},
+}
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +60,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents sampled towards target shares of source, language and topic."""
     docs = docs.select(COLUMNS).withColumn("topic", topic_of(F.col("text")))
-    return mix(docs, MIX_TARGETS, seed=MIX_SEED, floor=LEAST_PROBABILITY).select(COLUMNS)
+    return mix(docs, TARGETS, seed=MIX_SEED).select(COLUMNS)
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
