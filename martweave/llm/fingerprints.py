@@ -113,18 +113,21 @@ def with_next_edit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     The edit replaces the last third of the code points (rounded down) by as
     many from the start of the next text, or all of it; after the last document
-    comes the first. Null ids come last, equal ids are in descending order of
-    text. A single document is its own next.
+    comes the first. Null ids come last, equal ids are in descending order of the
+    64-bit hash of the text (Spark's xxhash64), then of the text. A single document
+    is its own next.
 
     Texts are range-sorted once and passed through in order. Only the last
     document of each partition lacks its next one; it is finished from a small
     table of partition edges, whose size is the number of partitions.
     """
     spark = docs.sparkSession
-    order = [F.col("doc_id").desc_nulls_last(), F.col("text").desc()]
+    # Bounds of the ranges are sampled on the driver, so no text is part of them.
+    bounds = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text").desc()]
+    order = [*bounds, F.col("text").desc()]
     laid = (
         docs.select(F.col(id_col).cast("bigint").alias("doc_id"), whole_text(text_col).alias("text"))
-        .repartitionByRange(partitions(spark), *order)
+        .repartitionByRange(partitions(spark), *bounds)
         .sortWithinPartitions(*order)
         .withColumn("part", F.spark_partition_id())
     )
