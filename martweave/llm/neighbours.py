@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from martweave.llm.common import numbered, partitions, settled
 
-NEIGHBOURS, SIDE, ROUNDS, BEAM = 24, 16, 4, 256
+NEIGHBOURS, SIDE, ROUNDS, BEAM = 24, 16, 4, 448
 BLOCK, PROJECTIONS = 200, 4
 QUERY_BLOCK = 4096
 _EDGES = "u bigint, v bigint, d double"
