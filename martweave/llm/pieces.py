@@ -26,6 +26,7 @@ the mark character itself.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -41,8 +42,8 @@ from martweave.llm.common import add_column, whole_text
 MARK = "▁"  # stands for a blank in the model's pieces
 _UNKNOWN_PENALTY = 10.0
 _WORDS = re.compile(r" *[^ ]+| +")
-CACHE_WORDS = 200_000
-CACHE_PAIRS = 1_000_000
+CACHE_WORDS, CACHE_PAIRS = 300_000, 500_000
+STEP = 1 << 20  # code points or ids that are worked on at once
 
 
 @dataclass(frozen=True)
@@ -56,8 +57,9 @@ class Vocabulary:
     longest: int
     unknown: float
     merges: bool
-    ends: dict[str, bool]  # every ending of a piece, and whether it is a piece
-    neighbours: dict[tuple[str, str], bool] = field(default_factory=dict, compare=False, repr=False)
+    # Every ending of a piece. For pieces: what is known of the pieces they may follow.
+    ends: dict[str, dict[str, bool] | None] = field(compare=False, repr=False)
+    pairs: list[int] = field(default_factory=lambda: [0], compare=False, repr=False)
 
     @classmethod
     def of(
@@ -74,17 +76,22 @@ class Vocabulary:
             raise ValueError(f"pieces with a blank after another character: {inner[:3]}")
         worst = min(scores.values(), default=0.0)
         ids = ids or {p: i for i, p in enumerate(scores)}
-        ends = {p[i:]: False for p in scores for i in range(1, len(p))} | dict.fromkeys(scores, True)
+        ends = {p[i:]: None for p in scores for i in range(1, len(p))} | {p: {} for p in scores}
         longest = max(map(len, scores), default=1)
         return cls(ids, scores, tuple(byte_ids), tuple(bytes_of), longest, worst - _UNKNOWN_PENALTY, merges, ends)
 
-    def stays(self, a: str, b: str) -> bool:
+    def stays(self, before: str, piece: str) -> bool:
         """Whether merging the characters of two pieces ends with these pieces."""
-        found = self.neighbours.get((a, b))
-        if found is None:
-            if len(self.neighbours) >= CACHE_PAIRS:
-                self.neighbours.clear()
-            found = self.neighbours[a, b] = merged(a + b, self.scores) == ([a, b] if a else [b])
+        found = merged(before + piece, self.scores) == ([before, piece] if before else [piece])
+        known = self.ends.get(piece)
+        if known is not None:
+            if self.pairs[0] >= CACHE_PAIRS:
+                for other in self.ends.values():
+                    if other:
+                        other.clear()
+                self.pairs[0] = 0
+            known[before] = found
+            self.pairs[0] += 1
         return found
 
 
@@ -166,8 +173,7 @@ def segment_sorted(words: Iterable[str], vocabulary: Vocabulary) -> Iterator[tup
                 break
             shared += 1
         del best[shared + 1 :], pieces[shared + 1 :]
-        for end in range(shared + 1, len(word) + 1):
-            extend(word, end, best, pieces, vocabulary)
+        extend(word, shared + 1, best, pieces, vocabulary)
         found, end = [], len(word)
         while end:
             piece = pieces[end]
@@ -181,40 +187,45 @@ def segment_sorted(words: Iterable[str], vocabulary: Vocabulary) -> Iterator[tup
         yield word, found
 
 
-def _by_scores(word: str, end: int, best: list[float], pieces: list[str], vocabulary: Vocabulary) -> None:
-    top, last, ends = None, word[end - 1], vocabulary.ends
-    for begin in range(end - 1, -1, -1):
-        piece = word[begin:end]
-        known = ends.get(piece)
-        if known:
-            score = best[begin] + vocabulary.scores[piece]
-            if top is None or score >= top:
-                top, last = score, piece
-        elif known is None:
-            break
-    if word[end - 1] not in vocabulary.scores:
-        other = best[end - 1] + vocabulary.unknown
-        if top is None or other > top:
-            top, last = other, word[end - 1]
-    best.append(top)
-    pieces.append(last)
-
-
-def _by_merges(word: str, end: int, best: list[float], pieces: list[str], vocabulary: Vocabulary) -> None:
-    ends, neighbours = vocabulary.ends, vocabulary.neighbours
-    for begin in range(end - 1, -1, -1):
-        piece = word[begin:end]
-        known = ends.get(piece)
-        if known or begin == end - 1:
-            pair = (pieces[begin], piece)
-            stays = neighbours.get(pair)
-            if stays or stays is None and vocabulary.stays(*pair):
+def _by_scores(word: str, low: int, best: list[float], pieces: list[str], vocabulary: Vocabulary) -> None:
+    """Fills the table from prefix length ``low`` on with the best sums."""
+    scores, ends = vocabulary.scores, vocabulary.ends
+    for end in range(low, len(word) + 1):
+        top, last = None, word[end - 1]
+        for begin in range(end - 1, -1, -1):
+            piece = word[begin:end]
+            if piece not in ends:
                 break
-        if known is None:
-            piece = word[end - 1]
-            break
-    best.append(0.0)
-    pieces.append(piece)
+            if piece in scores:
+                score = best[begin] + scores[piece]
+                if top is None or score >= top:
+                    top, last = score, piece
+        if word[end - 1] not in scores:
+            other = best[end - 1] + vocabulary.unknown
+            if top is None or other > top:
+                top, last = other, word[end - 1]
+        best.append(top)
+        pieces.append(last)
+
+
+def _by_merges(word: str, low: int, best: list[float], pieces: list[str], vocabulary: Vocabulary) -> None:
+    """Fills the table from prefix length ``low`` on with the last piece of the only segmentation that stays."""
+    ends, nothing = vocabulary.ends, {}
+    for end in range(low, len(word) + 1):
+        begin = end - 1
+        piece = word[begin]
+        known = ends.get(piece, nothing)
+        while True:
+            if known is not None:
+                before = pieces[begin]
+                stays = known.get(before)
+                if stays or stays is None and vocabulary.stays(before, piece):
+                    break
+            begin -= 1
+            piece = word[begin:end]
+            known = ends[piece]
+        best.append(0.0)
+        pieces.append(piece)
 
 
 def marked_words(text: str) -> list[str]:
@@ -223,17 +234,20 @@ def marked_words(text: str) -> list[str]:
 
 
 def encode_texts(texts: list[str], vocabulary: Vocabulary, known: dict[str, bytes]) -> pa.ListArray:
-    """Ids of each text. ``known`` keeps words between calls and is emptied when it is full."""
-    if len(known) > CACHE_WORDS:
-        known.clear()
+    """Ids of each text. ``known`` keeps the words of earlier calls, up to a number of them."""
     per_text = [marked_words(t) for t in texts]
     counts = np.array([len(w) for w in per_text], dtype=np.int64)
     words = pa.array((w for ws in per_text for w in ws), pa.string()).dictionary_encode()
     distinct = words.dictionary.to_pylist()
-    for word, found in segment_sorted(sorted(w for w in distinct if w not in known), vocabulary):
-        known[word] = np.array(found, dtype=np.int32).tobytes()
-    flat = np.frombuffer(b"".join([known[w] for w in distinct]), dtype=np.int32)
-    lengths = np.array([len(known[w]) // 4 for w in distinct], dtype=np.int64)
+    new = {
+        word: array("i", found).tobytes()
+        for word, found in segment_sorted(sorted(w for w in distinct if w not in known), vocabulary)
+    }
+    entries = [new[w] if w in new else known[w] for w in distinct]
+    if len(known) + len(new) <= CACHE_WORDS:  # words seen first are the frequent ones
+        known.update(new)
+    flat = np.frombuffer(b"".join(entries), dtype=np.int32)
+    lengths = np.array([len(e) // 4 for e in entries], dtype=np.int64)
     starts = np.cumsum(lengths) - lengths
     codes = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     sizes = lengths[codes] if len(codes) else np.zeros(0, dtype=np.int64)
@@ -261,7 +275,7 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", name: str = "ids
     def compute(texts: pa.Array) -> pa.Array:
         return encode_texts(texts.to_pylist(), load(model), known)
 
-    return add_column(docs, name, T.ArrayType(T.IntegerType()), whole_text(text_col), compute)
+    return add_column(docs, name, T.ArrayType(T.IntegerType()), whole_text(text_col), compute, STEP)
 
 
 def decode(rows: DataFrame, model: str, ids_col: str = "ids", name: str = "decoded") -> DataFrame:
@@ -269,7 +283,9 @@ def decode(rows: DataFrame, model: str, ids_col: str = "ids", name: str = "decod
 
     def compute(ids: pa.Array) -> pa.Array:
         vocabulary = load(model)
-        offsets, values = ids.offsets.to_pylist(), ids.values.to_pylist()
-        return pa.array([decode_ids(values[a:b], vocabulary) for a, b in zip(offsets, offsets[1:])], pa.string())
+        offsets = ids.offsets.to_pylist()
+        values = ids.values.slice(offsets[0], offsets[-1] - offsets[0]).to_pylist()
+        cuts = [o - offsets[0] for o in offsets]
+        return pa.array([decode_ids(values[a:b], vocabulary) for a, b in zip(cuts, cuts[1:])], pa.string())
 
-    return add_column(rows, name, T.StringType(), F.coalesce(F.col(ids_col), F.array().cast("array<int>")), compute)
+    return add_column(rows, name, T.StringType(), F.coalesce(F.col(ids_col), F.array().cast("array<int>")), compute, STEP)
