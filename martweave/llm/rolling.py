@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2^64
-_INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
+OTHER_BASE = np.uint64(0xD1342543DE82EF95)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -18,14 +18,14 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class Rolling:
     """Hashes of ``symbols[start:end]`` for any spans; equal contents hash alike wherever they stand."""
 
-    def __init__(self, symbols: np.ndarray):
+    def __init__(self, symbols: np.ndarray, base: np.uint64 = _BASE):
         n = len(symbols)
-        powers = np.full(n + 1, _BASE, dtype=np.uint64)
+        powers = np.full(n + 1, base, dtype=np.uint64)
         powers[0] = 1
         np.cumprod(powers, out=powers)
         self._sums = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum((symbols.astype(np.uint64) + np.uint64(1)) * powers[:n], out=self._sums[1:])
-        powers[1:] = _INVERSE
+        powers[1:] = np.uint64(pow(int(base), -1, 2**64))
         self._inverse = np.cumprod(powers, out=powers)
 
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
