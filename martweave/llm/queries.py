@@ -7,6 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martweave.llm.alignment import align_documents
 from martweave.llm.chat import format_chats, read_back
 from martweave.llm.common import documents, whole_text
 from martweave.llm.fingerprints import with_next_edit
@@ -18,8 +19,11 @@ from martweave.llm.pieces import decode, encode
 from martweave.llm.quality import learnable, score_features, train
 from martweave.llm.sharding import shard_rows, text_rows
 from martweave.llm.substring_dedup import dedup_substrings
+from martweave.llm.url_filter import ALLOW, BLOCK, judge, rule_frame
+from martweave.llm.whitening import whiten
 
 PIECE_MODEL = os.environ.get("CORPUS_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+BYTE_BPE = os.environ.get("CORPUS_BYTE_BPE", "/opt/tokenizers/byte_bpe_50k.json")
 SHARDS = 40
 MIX_SEED = 11
 # Shares of tokens. What is not listed is `other`; src0 is the crawl that dominates the corpus.
@@ -28,6 +32,14 @@ MIX_TARGETS = {
     "lang": {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15},
     "topic": {"prose": 0.84, "short": 0.07, "listing": 0.03, "loud": 0.03, "marked": 0.03},
 }
+# Verdict, host and path.
+URL_RULES = [
+    (ALLOW, "com", "/"),
+    (BLOCK, "example.com", "/en/"),
+    (ALLOW, "www.example.com", "/en/"),
+    (BLOCK, "net", "/es/"),
+    (BLOCK, "net", "/fr/"),
+]
 _TOPIC_SQL = (
     "CASE WHEN contains(coalesce(text,''), ' | ') THEN 'listing' WHEN contains(coalesce(text,''), '!! ') THEN 'loud'"
     " WHEN contains(coalesce(text,''), '%%% ') THEN 'marked' WHEN length(coalesce(text,'')) < 600 THEN 'short' ELSE 'prose' END"
@@ -120,6 +132,21 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_chats(turns.unionByName(own)))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which tokens of a byte-level and a piece model cover the same bytes, and how often over the corpus."""
+    return align_documents(documents(spark, sf_dir), BYTE_BPE, PIECE_MODEL)
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's host, path, longest fitting rule and verdict; urls that no rule fits are allowed."""
+    return judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), rule_frame(spark, URL_RULES))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable embedding on the first four whitened components."""
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op3_quality": op3_quality,
@@ -131,6 +158,9 @@ QUERIES = {
     "op7_ngram_join": op7_ngram_join,
     "op8_neighbours": op8_neighbours,
     "op9_line_dedup": op9_line_dedup,
+    "op11_alignment": op11_alignment,
+    "op12_url_filter": op12_url_filter,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES = {
@@ -153,4 +183,15 @@ marked AS (SELECT keyed.*, keeper IS NOT NULL AND doc_id <> keeper AS gone FROM
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id, text""",
+    "op12_url_filter": f"""
+WITH rules(verdict, host, path) AS (VALUES {", ".join(map(str, URL_RULES))}),
+rests AS (SELECT page_id, row_number() OVER () AS rid,
+  CASE WHEN contains(url, '://') THEN substring(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+urls AS (SELECT page_id, rid, translate(regexp_extract(rest, '^([^/?#]*)', 1),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rests),
+fits AS (SELECT rid, arg_max(r.host || r.path, length(r.host || r.path)) AS rule,
+  arg_max(r.verdict, length(r.host || r.path)) AS verdict FROM urls u JOIN rules r
+  ON (u.host = r.host OR ends_with(u.host, '.' || r.host)) AND starts_with(u.path, r.path) GROUP BY rid)
+SELECT page_id, host, path, rule, coalesce(verdict, '{ALLOW}') AS verdict FROM urls LEFT JOIN fits USING (rid)""",
 }
