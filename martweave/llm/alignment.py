@@ -86,6 +86,10 @@ class Pair:
     second_bytes: list[bytes]
     parts: bool  # whether single blanks cut texts
 
+    def __post_init__(self) -> None:
+        self.first_sizes, self.second_sizes = list(map(len, self.first_bytes)), list(map(len, self.second_bytes))
+        self.first_keys = [first_key(i) for i in range(len(self.first_bytes))]
+
     def tokenise(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         encoded = self.first.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
         return [e.ids for e in encoded], self.second.encode(texts, num_threads=1)
@@ -131,30 +135,35 @@ class Aligned:
     groups: str
 
 
-def pair_codes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """One number per id pair: the permuted A id, then the B id."""
-    mixed = (a.astype(np.uint64) * np.uint64(_SPREAD)) & np.uint64((1 << _ID_BITS) - 1)
-    return (mixed << np.uint64(_ID_BITS)) | b.astype(np.uint64)
+def first_key(a: int) -> int:
+    """The A id's part of a pair's code: permuted, before the bits of the B id."""
+    return ((a * _SPREAD) & ((1 << _ID_BITS) - 1)) << _ID_BITS
 
 
 def align(pair: Pair, text: str, a_ids: list[int], b_ids: list[int]) -> Aligned | None:
     """The alignment of a text's tokens; None where their bytes are not blank and text."""
     raw = b" " + text.encode()
-    a_bytes, b_bytes = [pair.first_bytes[i] for i in a_ids], [pair.second_bytes[i] for i in b_ids]
-    if b"".join(a_bytes) != raw or b"".join(b_bytes) != raw:
+    if b"".join([pair.first_bytes[i] for i in a_ids]) != raw or b"".join([pair.second_bytes[i] for i in b_ids]) != raw:
         return None
-    a_ends, b_ends = np.cumsum([len(t) for t in a_bytes]), np.cumsum([len(t) for t in b_bytes])
-    # Between two neighbouring ends of either side lies the overlap of exactly one pair.
-    ends = np.union1d(a_ends, b_ends)
-    codes = pair_codes(
-        np.array(a_ids)[np.searchsorted(a_ends, ends)], np.array(b_ids)[np.searchsorted(b_ends, ends)]
-    )
-    parts, a_at, b_at = [], 0, 0
-    for end in np.intersect1d(a_ends, b_ends, assume_unique=True).tolist():
-        a_to, b_to = int(np.searchsorted(a_ends, end)) + 1, int(np.searchsorted(b_ends, end)) + 1
-        parts.append(",".join(map(str, a_ids[a_at:a_to])) + "|" + ",".join(map(str, b_ids[b_at:b_to])))
-        a_at, b_at = a_to, b_to
-    return Aligned(len(a_ids), len(b_ids), len(parts), codes, ";".join(parts))
+    sizes, widths, keys = pair.first_sizes, pair.second_sizes, pair.first_keys
+    codes, groups, a_start, b_start, i, j = [], [], 0, 0, 0, 0
+    gap = sizes[a_ids[0]] - widths[b_ids[0]]  # by how many bytes the present token of A ends after that of B
+    while True:
+        codes.append(keys[a_ids[i]] | b_ids[j])
+        if gap < 0:
+            i += 1
+            gap += sizes[a_ids[i]]
+        elif gap > 0:
+            j += 1
+            gap -= widths[b_ids[j]]
+        else:
+            i, j = i + 1, j + 1
+            groups.append(f"{','.join(map(str, a_ids[a_start:i]))}|{','.join(map(str, b_ids[b_start:j]))}")
+            if i == len(a_ids):
+                break
+            a_start, b_start = i, j
+            gap = sizes[a_ids[i]] - widths[b_ids[j]]
+    return Aligned(len(a_ids), len(b_ids), len(groups), np.array(codes, dtype=np.uint64), ";".join(groups))
 
 
 class Units:
@@ -169,6 +178,7 @@ class Units:
         self.groups: list[str | None] = []
         self.counts: list[tuple[int, int, int, int]] = []
         self.codes: list[np.ndarray] = []
+        self.failed: set[str] = set()
         self.links = 0
 
     def learn(self, texts: list[str]) -> None:
@@ -178,6 +188,8 @@ class Units:
             found = align(self.pair, text, a_ids, b_ids)
             self.number[text] = len(self.groups)
             none = found is None
+            if none:
+                self.failed.add(text)
             self.groups.append(None if none else found.groups)
             self.codes.append(np.zeros(0, np.uint64) if none else found.codes)
             self.counts.append((0, 0, 0, 0) if none else (found.n_a, found.n_b, found.n_groups, len(found.codes)))
@@ -195,7 +207,7 @@ def aligned_texts(units: Units, texts: list[str]) -> Iterator[tuple[tuple[int, i
     units.learn(sorted({s for of_text in stretches for s in of_text if s} - units.number.keys()))
     # Where a stretch fails by itself, only the whole text can tell.
     number, groups = units.number, units.groups
-    failed = [i for i, t in enumerate(texts) if t and any(groups[number[s]] is None for s in stretches[i])]
+    failed = [i for i, t in enumerate(texts) if t and units.failed and not units.failed.isdisjoint(stretches[i])]
     units.learn(sorted({texts[i] for i in failed} - number.keys()))
     for i in failed:
         stretches[i] = [texts[i]]
