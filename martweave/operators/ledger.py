@@ -1,20 +1,29 @@
-"""The run ledger as an append-only table of events.
+"""The run ledger: events of files, and the commits that make them count.
 
 An event says that a file was started (``A``), done (``I``) or refused by the
 header gate (``R``). Nothing is updated in place: the state of a file follows
 from its latest events. A file is a path with a length and a modification time,
 so a new delivery under an old name is a new file.
+
+Events are written to a folder of their own and count once a commit names it
+(:mod:`martweave.sinks.commits`). The commit that marks files as done also names
+the folders of the marts that hold them, so both become visible at once, and it
+is refused when another run has committed since its base was read. Checkpoints
+merge the event folders; reading the ledger is one checkpoint and the tail.
 """
 
 from __future__ import annotations
 
 import logging
+import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martweave.contract import DONE, REFUSED, STARTED
+from martweave.sinks.commits import CommitLog, Put, State, put_if_absent
 
 EVENT_SCHEMA = T.StructType(
     [
@@ -88,21 +97,25 @@ def unfinished(events: DataFrame, landed: DataFrame) -> DataFrame:
 
 
 class Ledger:
-    """The events of all runs, kept as Parquet files below ``path``."""
+    """The events of all runs and the published state, kept below ``path``."""
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, put: Put = put_if_absent, checkpoint_every: int = 20):
         self.spark = spark
-        self.path = path
+        self.log = CommitLog(spark, path, put, checkpoint_every)
+
+    def state(self, version: int | None = None) -> State:
+        return self.log.state(version)
 
-    def events(self) -> DataFrame:
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        if not folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder):
+    def events(self, state: State | None = None) -> DataFrame:
+        folders = list((state or self.state()).events)
+        if not folders:
             return self.spark.createDataFrame([], STORED_SCHEMA)
-        return self.spark.read.schema(STORED_SCHEMA).parquet(self.path)
+        return self.spark.read.schema(STORED_SCHEMA).parquet(*folders)
 
-    def mark(self, files: DataFrame, status: str, run_id: str) -> None:
-        """Appends one event per file of ``files(path, file_name)``, with its ``length`` and ``modified`` if given."""
+    def _written(self, files: DataFrame, status: str, run_id: str) -> str:
+        """A folder with one event per file of ``files(path, file_name)``, with its ``length`` and ``modified`` if given."""
         version = [F.col(c) if c in files.columns else F.lit(None) for c in ("length", "modified")]
+        folder = f"{self.log.path}/events/{uuid.uuid4().hex}"
         files.select(
             "file_name",
             F.col("path").alias("file_location"),
@@ -111,14 +124,47 @@ class Ledger:
             F.current_timestamp().alias("event_time"),
             version[0].cast("bigint").alias("length"),
             version[1].cast("timestamp").alias("modified"),
-        ).write.mode("append").parquet(self.path)
+        ).write.parquet(folder)
+        return folder
+
+    def mark(self, files: DataFrame, status: str, run_id: str) -> State:
+        """Commits one event per file, after whatever other runs have committed."""
+        commit = {"run_id": run_id, "events": [self._written(files, status, run_id)], "finishes": status == DONE}
+        return self._kept(self.log.commit(commit))
 
-    def not_done(self, files: DataFrame) -> DataFrame:
+    def finish(
+        self, base: State, files: DataFrame | None, run_id: str, change: Mapping[str, Mapping], finishes: bool = True
+    ) -> State | None:
+        """Marks ``files`` as done and publishes ``change`` in one commit after ``base``; None when that place is taken.
+
+        ``change`` gives ``tables``, the folder of each part that is new (None: the part goes), and their ``schemas``.
+        """
+        events = [] if files is None else [self._written(files, DONE, run_id)]
+        commit = {"run_id": run_id, "events": events, "finishes": finishes, **change}
+        return self._kept(base.after(commit)) if self.log.try_commit(base, commit) else None
+
+    def _kept(self, state: State) -> State:
+        self.log.compact(state, self._merge)
+        return state
+
+    def _merge(self, folders: tuple[str, ...], target: str) -> None:
+        """Event folders as one: equal events of a run once, at their first and last time, near each other by path."""
+        found = self.spark.read.schema(STORED_SCHEMA).parquet(*folders)
+        keys = [c for c in STORED_SCHEMA.names if c != "event_time"]
+        times = found.groupBy(*keys).agg(F.array_distinct(F.array(F.min("event_time"), F.max("event_time"))).alias("times"))
+        events = times.select(*keys, F.explode("times").alias("event_time")).select(*STORED_SCHEMA.names)
+        events.repartitionByRange("file_location").sortWithinPartitions("file_location").write.parquet(target)
+
+    def compact(self) -> None:
+        """Writes a checkpoint of the present state."""
+        self.log.compact(self.state(), self._merge, force=True)
+
+    def not_done(self, files: DataFrame, state: State | None = None) -> DataFrame:
         """Files whose present version no run has finished or refused.
 
         Without ``length`` and ``modified`` in ``files``, any version of the path counts.
         """
-        seen = self.events().where(F.col("status").isin(DONE, REFUSED)).select(
+        seen = self.events(state).where(F.col("status").isin(DONE, REFUSED)).select(
             F.col("file_location").alias("seen_path"),
             F.col("length").alias("seen_length"),
             F.col("modified").alias("seen_modified"),
@@ -128,13 +174,18 @@ class Ledger:
             same &= F.col("length").eqNullSafe(F.col("seen_length")) & F.col("modified").eqNullSafe(F.col("seen_modified"))
         return files.join(seen, same, "left_anti")
 
-    def is_finished(self, run_id: str) -> bool:
+    def earlier_versions(self, files: DataFrame, state: State) -> DataFrame:
+        """``(run_id, path)``: the runs that finished another version of a file's path and still hold it."""
+        done = self.events(state).where(F.col("status") == DONE).select("run_id", F.col("file_location").alias("path"))
+        return done.join(files.select("path").distinct(), "path", "left_semi").select("run_id", "path").distinct()
+
+    def is_finished(self, run_id: str, state: State | None = None) -> bool:
         """Whether the run has marked files as done."""
-        return not self.events().where((F.col("status") == DONE) & (F.col("run_id") == run_id)).isEmpty()
+        return run_id in (state or self.state()).finished
 
     def finished_runs(self) -> DataFrame:
         """``(run_id)`` of the runs that marked files as done."""
-        return self.events().where(F.col("status") == DONE).select("run_id").distinct()
+        return self.spark.createDataFrame([(r,) for r in sorted(self.state().finished)], "run_id string")
 
     def check(self, landed: DataFrame, on_unfinished: str = "warn") -> None:
         """Warns of unfinished files, or raises with ``on_unfinished="fail"``."""

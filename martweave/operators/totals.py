@@ -21,6 +21,8 @@ from martweave.workspace import as_table
 
 CUSTOMER_KEY = ["customer_id", "sales_date_month"]
 SELLER_KEY = ["store_id", "sales_person_id", "sales_month"]
+SUM_KEYS = ["customer_id", "store_id", "sales_person_id", "month"]
+SUM_VALUES = ["amount", "priced", "sales"]
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -99,6 +101,42 @@ def matched_amounts(fact: DataFrame, dims: Dimensions) -> DataFrame:
     return rows
 
 
+def key_sums(sales: DataFrame, *more: str) -> DataFrame:
+    """Sales added up by key combination and month (and ``more`` columns), as sums that can be added and taken back.
+
+    ``amount`` is the sum of the known amounts, ``priced`` their number and ``sales`` the number of sales.
+    """
+    return sales.groupBy(*more, *SUM_KEYS[:-1], month_start("sales_date").alias("month")).agg(
+        F.coalesce(F.sum("total_cost"), F.lit(0)).cast(MONEY_TOTAL).alias("amount"),
+        F.count("total_cost").alias("priced"),
+        F.count(F.lit(1)).alias("sales"),
+    )
+
+
+def negated(sums: DataFrame) -> DataFrame:
+    """``sums`` that take back what they hold when they are added."""
+    return sums.select(*[(-F.col(c)).alias(c) if c in SUM_VALUES else F.col(c) for c in sums.columns])
+
+
+def added(sums: DataFrame) -> DataFrame:
+    """Several sums of one key as one; keys whose sales have all been taken back go."""
+    totals = sums.groupBy(*SUM_KEYS).agg(
+        F.sum("amount").cast(MONEY_TOTAL).alias("amount"), F.sum("priced").alias("priced"), F.sum("sales").alias("sales")
+    )
+    return totals.where("sales > 0")
+
+
+def sums_as_fact(sums: DataFrame) -> DataFrame:
+    """Sums in the shape of sales, for the totals below: one row per key combination and month."""
+    return sums.select(
+        "customer_id",
+        "store_id",
+        "sales_person_id",
+        F.col("month").alias("sales_date"),
+        F.when(F.col("priced") > 0, F.col("amount")).alias("total_cost"),
+    )
+
+
 def customer_totals(fact: DataFrame, dims: Dimensions) -> DataFrame:
     """Customer monthly mart straight from fact and dimensions.
 

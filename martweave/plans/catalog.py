@@ -20,6 +20,7 @@ from martweave.operators.enrich import Dimensions, enrich
 from martweave.operators.ranking import rank_sellers
 from martweave.operators.totals import seller_totals
 from martweave.plans import batch, deliveries, marts
+from martweave.plans.store import MartStore
 from martweave.sinks import files, quarantine
 from martweave.sinks import jdbc as jdbc_sink
 from martweave.sources import jdbc as jdbc_source
@@ -359,14 +360,10 @@ def stream_pickup_count(spark, folder):
 def recomputed_months(spark, folder):
     """Months that arrive in two deliveries: monthly totals over both."""
     sales, dims = _inputs(spark, folder)
-    store = batch.MartStore(new_folder(spark, "marts"))
+    store = MartStore(new_folder(spark, "marts"))
     for status, part in (("F", sales.where("line_status = 'F'")), ("O", _others(sales, "line_status = 'F'"))):
-        delivery = part.drop("return_flag", "line_status")
-        delivery = delivery.withColumn("sales_month", month_key("sales_date"))
-        files.write_snapshot(delivery, store.fact, f"run-{status}", by=("sales_month",))
-        months = batch.read_fact(spark, store, f"run-{status}").select("sales_month").distinct()
-        batch.recompute_months(spark, months, dims, store)
-    return comparable(spark.read.parquet(store.customer_monthly))
+        batch.add_sales(spark, part, dims, store, f"run-{status}")
+    return comparable(store.read(spark, "customer_monthly"))
 
 
 def landed_sales_to_marts(spark, folder):
@@ -374,33 +371,33 @@ def landed_sales_to_marts(spark, folder):
     sales, dims = _inputs(spark, folder)
     landed = new_folder(spark, "landing")
     deliveries.land_clean(sales, landed)
-    store = batch.MartStore(new_folder(spark, "marts"))
+    store = MartStore(new_folder(spark, "marts"))
     batch.run_batch(spark, landing.list_files(spark, landed), dims, store, "run")
-    return comparable(spark.read.parquet(store.sales_person_incentive))
+    return comparable(store.read(spark, "sales_person_incentive"))
 
 
 def landing_read_twice(spark, folder):
     """Two runs over one landing that keeps its files: every sale counts once."""
     sales, dims = _inputs(spark, folder)
-    landed, store = new_folder(spark, "landing"), batch.MartStore(new_folder(spark, "marts"))
+    landed, store = new_folder(spark, "landing"), MartStore(new_folder(spark, "marts"))
     deliveries.land_clean(sales, landed)
     for run in ("day-1", "day-2"):
         batch.run_batch(spark, landing.list_files(spark, landed), dims, store, run)
-    return comparable(spark.read.parquet(store.sales_person_incentive))
+    return comparable(store.read(spark, "sales_person_incentive"))
 
 
 def redelivered_file_counts(spark, folder):
     """Files rewritten with other sales under the same names: both versions count."""
     sales, dims = _inputs(spark, folder)
-    landed, store = new_folder(spark, "landing"), batch.MartStore(new_folder(spark, "marts"))
+    landed, store = new_folder(spark, "landing"), MartStore(new_folder(spark, "marts"))
     early = "sales_date < '1998-01-01'"
     for run, part in (("day-1", sales.where(early)), ("day-2", _others(sales, early))):
         deliveries.land_named(part, landed, "sales")
         batch.run_batch(spark, landing.list_files(spark, landed), dims, store, run)
-    return comparable(spark.read.parquet(store.sales_person_incentive))
+    return comparable(store.read(spark, "sales_person_incentive"))
 
 
-def _pick_up(spark, landed: str, checkpoint: str, dims: Dimensions, store: batch.MartStore) -> None:
+def _pick_up(spark, landed: str, checkpoint: str, dims: Dimensions, store: MartStore) -> None:
     def handle(paths, number):
         run = run_id_of(spark, checkpoint, number)
         batch.run_batch(spark, paths, dims, store, run, require_input=False)
@@ -411,34 +408,34 @@ def _pick_up(spark, landed: str, checkpoint: str, dims: Dimensions, store: batch
 def pickup_after_rejected_delivery(spark, folder):
     """All sales without a mandatory column, which are refused, and then all sales as they should be."""
     sales, dims = _inputs(spark, folder)
-    landed, store = new_folder(spark, "landing"), batch.MartStore(new_folder(spark, "marts"))
+    landed, store = new_folder(spark, "landing"), MartStore(new_folder(spark, "marts"))
     checkpoint = new_folder(spark, "pickup")
     for name, columns in (("bad", [c for c in MANDATORY_COLUMNS if c != "store_id"]), ("good", MANDATORY_COLUMNS)):
         deliveries.land_named(sales, landed, name, columns)
         _pick_up(spark, landed, checkpoint, dims, store)
-    return comparable(spark.read.parquet(store.sales_person_incentive))
+    return comparable(store.read(spark, "sales_person_incentive"))
 
 
 def pickup_with_new_checkpoint(spark, folder):
     """A second checkpoint that sees old and new files: old sales are neither erased nor counted again."""
     sales, dims = _inputs(spark, folder)
-    landed, store = new_folder(spark, "landing"), batch.MartStore(new_folder(spark, "marts"))
+    landed, store = new_folder(spark, "landing"), MartStore(new_folder(spark, "marts"))
     early = "sales_date < '1998-01-01'"
     for part in (sales.where(early), _others(sales, early)):
         deliveries.land_clean(part, landed)
         _pick_up(spark, landed, new_folder(spark, "pickup"), dims, store)
-    return comparable(spark.read.parquet(store.sales_person_incentive))
+    return comparable(store.read(spark, "sales_person_incentive"))
 
 
 def rerun_moves_months(spark, folder):
     """A run that did not finish, repeated with sales in other months: the first months go."""
     sales, dims = _inputs(spark, folder)
-    landed, store = new_folder(spark, "landing"), batch.MartStore(new_folder(spark, "marts"))
+    landed, store = new_folder(spark, "landing"), MartStore(new_folder(spark, "marts"))
 
     class Lost(RuntimeError):
         pass
 
-    def lose():
+    def lose(_):
         raise Lost
 
     deliveries.land_named(sales.withColumn("sales_date", F.add_months("sales_date", 240)), landed, "sales")
@@ -448,7 +445,78 @@ def rerun_moves_months(spark, folder):
         pass
     deliveries.land_named(sales, landed, "sales")
     batch.run_batch(spark, landing.list_files(spark, landed), dims, store, "run")
-    return comparable(spark.read.parquet(store.customer_monthly))
+    return comparable(store.read(spark, "customer_monthly"))
+
+
+def concurrent_runs_count_once(spark, folder):
+    """A run over all files during which two others finish, one over some of these files and one over a later delivery."""
+    sales, dims = _inputs(spark, folder)
+    landed, store = new_folder(spark, "landing"), MartStore(new_folder(spark, "marts"))
+    early, late = "sales_date < '1997-01-01'", "sales_date >= '2000-01-01'"
+    middle = _others(sales, f"({early}) OR ({late})")
+    deliveries.land_named(sales.where(early), landed, "early")
+    shared = landing.list_files(spark, landed)
+    deliveries.land_named(middle, landed, "middle")
+    begun = []
+
+    def others_are_faster(_):
+        if not begun:
+            begun.append(True)
+            batch.run_batch(spark, shared, dims, store, "second")
+            deliveries.land_named(sales.where(late), landed, "late")
+            new = [p for p in landing.list_files(spark, landed) if "/late-" in p]
+            batch.run_batch(spark, new, dims, store, "third")
+
+    batch.run_batch(spark, landing.list_files(spark, landed), dims, store, "first", publish=others_are_faster)
+    return comparable(store.read(spark, "sales_person_incentive"))
+
+
+def abandoned_run_is_invisible(spark, folder):
+    """Sales of half the stores, published; a run over all others that dies before its commit; the marts as readers see them."""
+    sales, dims = _inputs(spark, folder)
+    landed, store = new_folder(spark, "landing"), MartStore(new_folder(spark, "marts"))
+
+    class Lost(RuntimeError):
+        pass
+
+    def lose(_):
+        raise Lost
+
+    for name, part, publish in (("even", "store_id % 2 = 0", None), ("odd", "store_id % 2 = 1", lose)):
+        deliveries.land_named(sales.where(part), f"{landed}/{name}", "sales")
+        try:
+            paths = landing.list_files(spark, f"{landed}/{name}")
+            batch.run_batch(spark, paths, dims, store, name, publish=publish)
+        except Lost:
+            pass
+    return comparable(store.read(spark, "sales_team_detail").drop(files.RUN_COLUMN))
+
+
+def replaced_files_retract(spark, folder):
+    """All sales at wrong amounts and dates, then half the files anew as they should be, then the others: only the last count."""
+    sales, dims = _inputs(spark, folder)
+    landed, store = new_folder(spark, "landing"), MartStore(new_folder(spark, "marts"))
+    wrong = sales.withColumn("total_cost", F.col("total_cost") + 1).withColumn("sales_date", F.add_months("sales_date", 3))
+    early = "sales_date < '1998-01-01'"
+    deliveries.land_named(wrong.where(early), f"{landed}/early", "sales")
+    deliveries.land_named(_others(wrong, early), f"{landed}/late", "sales")
+    batch.run_batch(spark, landing.list_files(spark, landed), dims, store, "day-1")
+    for run, part in (("early", sales.where(early)), ("late", _others(sales, early))):
+        deliveries.land_named(part, f"{landed}/{run}", "sales")
+        batch.run_batch(spark, landing.list_files(spark, landed), dims, store, run, redelivered=batch.REPLACE)
+    detail = marts.sales_person_incentive_of_detail(store.read(spark, "sales_team_detail").drop(files.RUN_COLUMN))
+    mart = store.read(spark, "sales_person_incentive")
+    return comparable(mart.intersectAll(detail.select(*mart.columns)))
+
+
+def totals_merged_over_deliveries(spark, folder):
+    """Customer totals of five deliveries that share their months, each merged into the sums of those before it."""
+    sales, dims = _inputs(spark, folder)
+    store = MartStore(new_folder(spark, "marts"))
+    fifth = F.pmod(F.hash("customer_id", "store_id", "sales_date", "total_cost"), F.lit(5))
+    for i in range(5):
+        batch.add_sales(spark, sales.where(fifth == i), dims, store, f"delivery-{i}")
+    return comparable(store.read(spark, "customer_monthly"))
 
 
 def month_loses_partners(spark, folder):
@@ -458,13 +526,13 @@ def month_loses_partners(spark, folder):
     leaving = tables.customer().where("pincode = '3'").select(F.col("customer_id").alias("leaving"))
     moved = F.when(F.col("leaving").isNull(), F.col("sales_date")).otherwise(F.add_months("sales_date", 240))
     sales = sales.join(leaving, F.col("customer_id") == F.col("leaving"), "left").withColumn("sales_date", moved)
-    landed, store = new_folder(spark, "landing"), batch.MartStore(new_folder(spark, "marts"))
+    landed, store = new_folder(spark, "landing"), MartStore(new_folder(spark, "marts"))
     deliveries.land_clean(sales, landed)
     batch.run_batch(spark, landing.list_files(spark, landed), dims, store, "run")
-    months = batch.read_fact(spark, store).select("sales_month").distinct()
+    months = store.read(spark, "fact").select("sales_month").distinct()
     staying = Dimensions(tables.customer().where("pincode <> '3'"), tables.store(), tables.sales_team())
     batch.recompute_months(spark, months, staying, store)
-    return comparable(spark.read.parquet(store.customer_monthly))
+    return comparable(store.read(spark, "customer_monthly"))
 
 
 def dimensions_from_database(spark, folder):
@@ -531,6 +599,10 @@ QUERIES: dict[str, Query] = {
         pickup_with_new_checkpoint,
         rerun_moves_months,
         month_loses_partners,
+        concurrent_runs_count_once,
+        abandoned_run_is_invisible,
+        replaced_files_retract,
+        totals_merged_over_deliveries,
         quarantined_files_of_one_name,
         dimensions_from_database,
         stream_pickup_archived,

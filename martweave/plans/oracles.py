@@ -197,6 +197,8 @@ FROM fact GROUP BY 1""",
 }
 ORACLES["month_loses_partners"] = f"""{_JOINED} SELECT * FROM ({_CUSTOMER_MONTHLY})
 WHERE customer_id IN (SELECT customer_id FROM ct WHERE pincode <> '3')"""
+ORACLES["totals_merged_over_deliveries"] = ORACLES["customer_monthly_mart"]
+ORACLES["abandoned_run_is_invisible"] = f"SELECT * FROM ({ORACLES['sales_team_detail_mart']}) WHERE store_id % 2 = 0"
 ORACLES["rerun_moves_months"] = ORACLES["customer_monthly_mart"]
 ORACLES["quarantined_files_of_one_name"] = f"""WITH {_FACT}
 SELECT CASE WHEN sales_date < DATE '1998-01-01' THEN 'early' ELSE 'late' END AS folder, 'missing columns' AS reason,
@@ -210,6 +212,8 @@ for _name in (
     "pickup_after_rejected_delivery",
     "pickup_with_new_checkpoint",
     "dimensions_from_database",
+    "concurrent_runs_count_once",
+    "replaced_files_retract",
 ):
     ORACLES[_name] = ORACLES["sales_person_incentive"]
 ORACLES["parquet_mart_readback"] = ORACLES["customer_detail_mart"]

@@ -49,6 +49,12 @@ def write_snapshot(frame: DataFrame, path: str, run_ts: int | str, by: tuple[str
         version.write.mode("overwrite").partitionBy(*by).parquet(version_path(path, run_ts))
 
 
+def write_new(frame: DataFrame, folder: str, by: tuple[str, ...] = ()) -> None:
+    """Writes a folder that must not exist yet, split by ``by``."""
+    with _spread_writers(frame.sparkSession):
+        (_gathered(frame, by) if by else frame).write.partitionBy(*by).parquet(folder)
+
+
 def version_path(path: str, run_ts: int | str) -> str:
     return f"{path}/{RUN_COLUMN}={run_ts}"
 
