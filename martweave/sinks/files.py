@@ -44,15 +44,18 @@ def write_snapshot(frame: DataFrame, path: str, run_ts: int | str, by: tuple[str
 
     Reading ``path`` shows all versions with a ``run_ts`` column.
     """
-    version = _gathered(frame, by) if by else frame
+    if not by:
+        return frame.write.mode("overwrite").parquet(version_path(path, run_ts))
     with _spread_writers(frame.sparkSession):
-        version.write.mode("overwrite").partitionBy(*by).parquet(version_path(path, run_ts))
+        _gathered(frame, by).write.mode("overwrite").partitionBy(*by).parquet(version_path(path, run_ts))
 
 
 def write_new(frame: DataFrame, folder: str, by: tuple[str, ...] = ()) -> None:
     """Writes a folder that must not exist yet, split by ``by``."""
+    if not by:
+        return frame.write.parquet(folder)
     with _spread_writers(frame.sparkSession):
-        (_gathered(frame, by) if by else frame).write.partitionBy(*by).parquet(folder)
+        _gathered(frame, by).write.partitionBy(*by).parquet(folder)
 
 
 def version_path(path: str, run_ts: int | str) -> str:
@@ -75,18 +78,13 @@ def _spread_writers(spark: SparkSession):
     """Keeps small data with many folders on all cores.
 
     AQE would merge a few megabytes into one task, which then creates every
-    folder one after the other. Large writes are not affected: their partitions
-    stay at the advisory size.
+    folder one after the other. Rows of a folder share a partition, so without
+    merging there are no more files; a folder that is too large is still split.
     """
-    wanted = {
-        "spark.sql.adaptive.coalescePartitions.minPartitionNum": str(spark.sparkContext.defaultParallelism),
-        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
-    }
-    before = {key: spark.conf.get(key, None) for key in wanted}
-    for key, value in wanted.items():
-        spark.conf.set(key, value)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "false")
     try:
         yield
     finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
