@@ -146,6 +146,10 @@ def align(pair: Pair, text: str, a_ids: list[int], b_ids: list[int]) -> Aligned
     if b"".join([pair.first_bytes[i] for i in a_ids]) != raw or b"".join([pair.second_bytes[i] for i in b_ids]) != raw:
         return None
     sizes, widths, keys = pair.first_sizes, pair.second_sizes, pair.first_keys
+    if len(a_ids) == 1 or len(b_ids) == 1:  # one token covers all: one group, every pair linked
+        codes = [keys[a] | b for a in a_ids for b in b_ids]
+        group = f"{','.join(map(str, a_ids))}|{','.join(map(str, b_ids))}"
+        return Aligned(len(a_ids), len(b_ids), 1, np.array(codes, dtype=np.uint64), group)
     codes, groups, a_start, b_start, i, j = [], [], 0, 0, 0, 0
     gap = sizes[a_ids[0]] - widths[b_ids[0]]  # by how many bytes the present token of A ends after that of B
     while True:
@@ -158,7 +162,10 @@ def align(pair: Pair, text: str, a_ids: list[int], b_ids: list[int]) -> Aligned
             gap -= widths[b_ids[j]]
         else:
             i, j = i + 1, j + 1
-            groups.append(f"{','.join(map(str, a_ids[a_start:i]))}|{','.join(map(str, b_ids[b_start:j]))}")
+            if i - a_start == 1 and j - b_start == 1:
+                groups.append(f"{a_ids[a_start]}|{b_ids[b_start]}")
+            else:
+                groups.append(f"{','.join(map(str, a_ids[a_start:i]))}|{','.join(map(str, b_ids[b_start:j]))}")
             if i == len(a_ids):
                 break
             a_start, b_start = i, j
@@ -199,6 +206,12 @@ class Units:
         return len(self.groups) > CACHE_UNITS or self.links > CACHE_LINKS
 
 
+@lru_cache(maxsize=2)
+def shared_units(byte_bpe: str, piece_model: str) -> Units:
+    """One table for all tasks that a worker process runs; it only saves work."""
+    return Units(load_pair(byte_bpe, piece_model))
+
+
 def aligned_texts(units: Units, texts: list[str]) -> Iterator[tuple[tuple[int, int, int, int], str, list[np.ndarray]]]:
     """Counts, digest and link codes of each text."""
     if units.full():
@@ -341,7 +354,7 @@ def runs_of(docs: DataFrame, byte_bpe: str, piece_model: str, id_col: str, text_
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, run, number = Units(load_pair(byte_bpe, piece_model)), Run(), None
+        units, run, number = shared_units(byte_bpe, piece_model), Run(), None
         for batch in batches:
             if number is None and batch.num_rows:
                 number = batch.column("part")[0].as_py() << 32
