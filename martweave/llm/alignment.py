@@ -126,11 +126,9 @@ def load_pair(byte_bpe: str, piece_model: str) -> Pair:
 
 @dataclass
 class Aligned:
-    """A stretch's number of tokens, groups, its linked id pairs as codes, and its groups as text."""
+    """A stretch's number of A's tokens, its linked id pairs as codes, and its groups as text."""
 
     n_a: int
-    n_b: int
-    n_groups: int
     codes: np.ndarray
     groups: str
 
@@ -149,7 +147,7 @@ def align(pair: Pair, text: str, a_ids: list[int], b_ids: list[int]) -> Aligned
     if len(a_ids) == 1 or len(b_ids) == 1:  # one token covers all: one group, every pair linked
         codes = [keys[a] | b for a in a_ids for b in b_ids]
         group = f"{','.join(map(str, a_ids))}|{','.join(map(str, b_ids))}"
-        return Aligned(len(a_ids), len(b_ids), 1, np.array(codes, dtype=np.uint64), group)
+        return Aligned(len(a_ids), np.array(codes, dtype=np.uint64), group)
     codes, groups, a_start, b_start, i, j = [], [], 0, 0, 0, 0
     gap = sizes[a_ids[0]] - widths[b_ids[0]]  # by how many bytes the present token of A ends after that of B
     while True:
@@ -170,21 +168,19 @@ def align(pair: Pair, text: str, a_ids: list[int], b_ids: list[int]) -> Aligned
                 break
             a_start, b_start = i, j
             gap = sizes[a_ids[i]] - widths[b_ids[j]]
-    return Aligned(len(a_ids), len(b_ids), len(groups), np.array(codes, dtype=np.uint64), ";".join(groups))
+    return Aligned(len(a_ids), np.array(codes, dtype=np.uint64), ";".join(groups))
+
+
+# A stretch in the table: its groups as text (None: no tokens), its number of A's tokens, its links' codes.
+Known = tuple[str | None, int, np.ndarray]
 
 
 class Units:
-    """Alignments of stretches seen so far, as arrays by stretch; ``number`` gives a stretch's place."""
+    """Alignments of the stretches seen so far; a table of bounded size that only saves work."""
 
     def __init__(self, pair: Pair):
         self.pair = pair
-        self.clear()
-
-    def clear(self) -> None:
-        self.number: dict[str, int] = {}
-        self.groups: list[str | None] = []
-        self.counts: list[tuple[int, int, int, int]] = []
-        self.codes: list[np.ndarray] = []
+        self.known: dict[str, Known] = {}
         self.failed: set[str] = set()
         self.links = 0
 
@@ -193,45 +189,50 @@ class Units:
             return
         for text, a_ids, b_ids in zip(texts, *self.pair.tokenise(texts)):
             found = align(self.pair, text, a_ids, b_ids)
-            self.number[text] = len(self.groups)
-            none = found is None
-            if none:
+            if found is None:
                 self.failed.add(text)
-            self.groups.append(None if none else found.groups)
-            self.codes.append(np.zeros(0, np.uint64) if none else found.codes)
-            self.counts.append((0, 0, 0, 0) if none else (found.n_a, found.n_b, found.n_groups, len(found.codes)))
-            self.links += len(self.codes[-1])
+                self.known[text] = (None, 0, np.zeros(0, np.uint64))
+            else:
+                self.known[text] = (found.groups, found.n_a, found.codes)
+                self.links += len(found.codes)
 
-    def full(self) -> bool:
-        return len(self.groups) > CACHE_UNITS or self.links > CACHE_LINKS
+    def make_room(self, wanted: set[str]) -> None:
+        """Forgets a full table but for what is ``wanted`` now, which is most of what is frequent."""
+        if len(self.known) > CACHE_UNITS or self.links > CACHE_LINKS:
+            self.known = {s: self.known[s] for s in wanted if s in self.known}
+            self.failed &= self.known.keys()
+            self.links = sum(len(codes) for _, _, codes in self.known.values())
 
 
 @lru_cache(maxsize=2)
 def shared_units(byte_bpe: str, piece_model: str) -> Units:
-    """One table for all tasks that a worker process runs; it only saves work."""
+    """One table for all tasks that a worker process runs."""
     return Units(load_pair(byte_bpe, piece_model))
 
 
 def aligned_texts(units: Units, texts: list[str]) -> Iterator[tuple[tuple[int, int, int, int], str, list[np.ndarray]]]:
-    """Counts, digest and link codes of each text."""
-    if units.full():
-        units.clear()
+    """Counts (tokens of A and of B, groups, links), digest and link codes of each text."""
     stretches = [_UNIT.split(t) if units.pair.parts else [t] for t in texts]
-    units.learn(sorted({s for of_text in stretches for s in of_text if s} - units.number.keys()))
+    wanted = set().union(*stretches)
+    wanted.discard("")
+    units.make_room(wanted)
+    units.learn(sorted(wanted - units.known.keys()))
     # Where a stretch fails by itself, only the whole text can tell.
-    number, groups = units.number, units.groups
     failed = [i for i, t in enumerate(texts) if t and units.failed and not units.failed.isdisjoint(stretches[i])]
-    units.learn(sorted({texts[i] for i in failed} - number.keys()))
+    units.learn(sorted({texts[i] for i in failed} - units.known.keys()))
     for i in failed:
         stretches[i] = [texts[i]]
+    known = units.known
     for text, of_text in zip(texts, stretches):
-        places = [number[s] for s in of_text] if text else []
-        if not places or groups[places[0]] is None:
+        found = [known[s] for s in of_text] if text else []
+        if not found or found[0][0] is None:
             yield (0, 0, 0, 0), "", []
             continue
-        whole = ";".join([groups[p] for p in places]).encode()
-        counts = tuple(map(sum, zip(*[units.counts[p] for p in places])))
-        yield counts, hashlib.sha256(whole).hexdigest(), [units.codes[p] for p in places]
+        whole = ";".join([f[0] for f in found]).encode()
+        codes = np.concatenate([f[2] for f in found])
+        n_a, n_groups, n_links = sum([f[1] for f in found]), whole.count(b";") + 1, len(codes)
+        # Every end of a token but the common ones ends one link, and each common end ends one link too.
+        yield (n_a, n_links + n_groups - n_a, n_groups, n_links), hashlib.sha256(whole).hexdigest(), [codes]
 
 
 # ---- runs
