@@ -4,12 +4,14 @@ All joins are inner: rows without a partner, and rows with a NULL key, drop
 out; a dimension key with several rows multiplies the fact rows.
 
 A dimension is broadcast only when its measured size is below the limit.
-Beyond it the join is left to Catalyst: a sort-merge join, whose hot partitions
-(one customer with a third of all sales) AQE splits over several tasks.
+Beyond it the join is a sort-merge join. Hot keys (one customer with a third of
+all sales) are dealt over many tasks when they are given; without them, AQE
+splits what it finds too large.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 
 from martweave.contract import CUSTOMER_COLUMNS, SALES_TEAM_COLUMNS, STORE_COLUMNS
 from martweave.functions.sales import full_name
+from martweave.operators.hot_join import hot_keys, join_spread
 from martweave.operators.sizing import BROADCAST_LIMIT, Size, measure
 
 
@@ -27,6 +30,7 @@ class Dimensions:
     """
 
     KEYS = {"customer": "customer_id", "store": "id", "sales_team": "id"}
+    FACT_KEYS = {"customer": "customer_id", "store": "store_id", "sales_team": "sales_person_id"}
 
     def __init__(
         self,
@@ -59,6 +63,14 @@ class Dimensions:
     def unique(self, name: str) -> bool:
         return self.sizes[name].unique
 
+    def hot_keys(self, fact: DataFrame) -> dict[str, DataFrame]:
+        """Hot keys of ``fact`` for each dimension that is too large to broadcast, from one pass over their columns.
+
+        ``fact`` should be a written table. When all dimensions fit, nothing is read.
+        """
+        names = {self.FACT_KEYS[name]: name for name in self.KEYS if not self.fits(name)}
+        return {names[key]: hot for key, hot in hot_keys(fact, list(names)).items()} if names else {}
+
     def key_copies(self, name: str) -> DataFrame:
         """``(key, copies)``: one row per key with the number of its rows."""
         key = F.col(self.KEYS[name]).alias("key")
@@ -82,23 +94,26 @@ class Dimensions:
         return shown if self.unique("sales_team") else shown.distinct()
 
 
-def _inner(fact: DataFrame, dims: Dimensions, name: str, dimension: DataFrame, on: Column) -> DataFrame:
-    return fact.join(dims.placed(name, dimension), on, "inner")
+def _inner(
+    fact: DataFrame, dims: Dimensions, name: str, dimension: DataFrame, key: str, hot: Mapping[str, DataFrame] | None
+) -> DataFrame:
+    own = Dimensions.FACT_KEYS[name]
+    if hot and name in hot and not dims.fits(name):
+        return join_spread(fact, dimension, [own], [key], hot[name]).drop(key)
+    return fact.join(dims.placed(name, dimension), fact[own] == dimension[key], "inner").drop(key)
 
 
-def join_customer(fact: DataFrame, dims: Dimensions) -> DataFrame:
+def join_customer(fact: DataFrame, dims: Dimensions, hot: Mapping[str, DataFrame] | None = None) -> DataFrame:
     customer = dims.customer.withColumnRenamed("customer_id", "customer_key")
-    return _inner(
-        fact, dims, "customer", customer, fact["customer_id"] == customer["customer_key"]
-    ).drop("customer_key")
+    return _inner(fact, dims, "customer", customer, "customer_key", hot)
 
 
-def join_store(fact: DataFrame, dims: Dimensions) -> DataFrame:
+def join_store(fact: DataFrame, dims: Dimensions, hot: Mapping[str, DataFrame] | None = None) -> DataFrame:
     store = dims.store.withColumnRenamed("id", "store_key")
-    return _inner(fact, dims, "store", store, fact["store_id"] == store["store_key"]).drop("store_key")
+    return _inner(fact, dims, "store", store, "store_key", hot)
 
 
-def join_sales_team(fact: DataFrame, dims: Dimensions) -> DataFrame:
+def join_sales_team(fact: DataFrame, dims: Dimensions, hot: Mapping[str, DataFrame] | None = None) -> DataFrame:
     team = dims.sales_team.select(
         F.col("id").alias("sales_person_key"),
         F.col("first_name").alias("sales_person_first_name"),
@@ -108,12 +123,13 @@ def join_sales_team(fact: DataFrame, dims: Dimensions) -> DataFrame:
         "manager_id",
         "is_manager",
     )
-    return _inner(
-        fact, dims, "sales_team", team, fact["sales_person_id"] == team["sales_person_key"]
-    ).drop("sales_person_key")
+    return _inner(fact, dims, "sales_team", team, "sales_person_key", hot)
 
 
-def enrich(fact: DataFrame, dims: Dimensions) -> DataFrame:
-    """The fact with customer, store and sales-team columns."""
+def enrich(fact: DataFrame, dims: Dimensions, hot: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """The fact with customer, store and sales-team columns.
+
+    ``hot`` is ``dims.hot_keys(fact)``: hot keys of dimensions that are not broadcast.
+    """
     lines = fact.drop("product_name", "price", "quantity")
-    return join_sales_team(join_store(join_customer(lines, dims), dims), dims)
+    return join_sales_team(join_store(join_customer(lines, dims, hot), dims, hot), dims, hot)

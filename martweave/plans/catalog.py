@@ -27,7 +27,7 @@ from martweave.sources import jdbc as jdbc_source
 from martweave.sources import landing, sales_csv
 from martweave.sources.retail_tables import open_tables
 from martweave.streaming.pickup import run_id_of, start_pickup
-from martweave.workspace import is_local, new_folder
+from martweave.workspace import as_table, is_local, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -121,6 +121,21 @@ def sales_person_incentive_two_names(spark, folder):
     return comparable(marts.sales_person_incentive(*_with_second_names(spark, folder)))
 
 
+def _with_hot_customer(spark, folder) -> tuple[DataFrame, Dimensions]:
+    """Inputs where the sales of every third order are customer 1's, and no dimension is small enough to broadcast."""
+    tables = open_tables(spark, folder)
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    moved = orders.withColumn("o_custkey", F.expr("if(o_orderkey % 3 = 0, 1, o_custkey)"))
+    fact = as_table(tables.sales_fact(orders=moved).drop("return_flag", "line_status"), "hot-customer")
+    return fact, Dimensions(tables.customer(), tables.store(), tables.sales_team(), broadcast_limit=0)
+
+
+def fact_enrich_hot_customer(spark, folder):
+    """A customer with a third of all sales, and dimensions that are joined by shuffles."""
+    fact, dims = _with_hot_customer(spark, folder)
+    return comparable(enrich(fact, dims, dims.hot_keys(fact)))
+
+
 def _checked(spark, folder) -> tuple[str, DataFrame]:
     landed = deliveries.land_deliveries(spark, folder)
     return landed, landing.check_files(spark, landing.list_files(spark, landed))
@@ -564,6 +579,7 @@ QUERIES: dict[str, Query] = {
     for q in (
         fact_conform,
         fact_enrich,
+        fact_enrich_hot_customer,
         customer_detail_mart,
         sales_team_detail_mart,
         sales_person_monthly_total,

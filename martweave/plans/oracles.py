@@ -199,6 +199,9 @@ ORACLES["month_loses_partners"] = f"""{_JOINED} SELECT * FROM ({_CUSTOMER_MONTHL
 WHERE customer_id IN (SELECT customer_id FROM ct WHERE pincode <> '3')"""
 ORACLES["totals_merged_over_deliveries"] = ORACLES["customer_monthly_mart"]
 ORACLES["abandoned_run_is_invisible"] = f"SELECT * FROM ({ORACLES['sales_team_detail_mart']}) WHERE store_id % 2 = 0"
+ORACLES["fact_enrich_hot_customer"] = ORACLES["fact_enrich"].replace(
+    "o.o_custkey AS customer_id", "CASE WHEN o.o_orderkey % 3 = 0 THEN 1 ELSE o.o_custkey END AS customer_id"
+)
 ORACLES["rerun_moves_months"] = ORACLES["customer_monthly_mart"]
 ORACLES["quarantined_files_of_one_name"] = f"""WITH {_FACT}
 SELECT CASE WHEN sales_date < DATE '1998-01-01' THEN 'early' ELSE 'late' END AS folder, 'missing columns' AS reason,

@@ -22,15 +22,16 @@ class RetailTables:
         self.table = cache(lambda name: spark.read.parquet(f"{folder}/{name}.parquet"))
         self.dimensions = cache(lambda: Dimensions(self.customer(), self.store(), self.sales_team()))
 
-    def sales_fact(self, product_names: bool = False) -> DataFrame:
-        """One row per order line, with the eight sales columns.
+    def sales_fact(self, product_names: bool = False, orders: DataFrame | None = None) -> DataFrame:
+        """One row per order line, with the eight sales columns; ``orders`` may stand for the order table.
 
         The unit price is the line amount over its quantity, rounded down to
         cents. Product names are shown by no mart, so the product table is only
         joined on request; an unknown product keeps its sale. Small tables are
         left to Catalyst's own size-checked broadcast.
         """
-        lines, orders, suppliers = self.table("lineitem"), self.table("orders"), self.table("supplier")
+        lines, suppliers = self.table("lineitem"), self.table("supplier")
+        orders = self.table("orders") if orders is None else orders
         joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(
             suppliers, lines.l_suppkey == suppliers.s_suppkey
         )
