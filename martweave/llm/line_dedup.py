@@ -8,8 +8,9 @@ moved once, to be put together again from the positions that stay.
 
 Only built-in column functions are used. Counting first reduces to one row per
 key and document and then to one per key, both with partial sums before the
-shuffle, so a line found everywhere is no hot group; the joins are plain
-equi-joins, which adaptive execution splits when one key is large.
+shuffle, so a line found everywhere is no hot group. The counts also say which
+keys are hot when the lines meet their counts again: those lines are dealt over
+many tasks by document and position. The last join is on documents.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martweave.llm.common import whole_text
+from martweave.llm.common import settled, whole_text
+from martweave.operators.hot_join import hot_of_counts, join_spread
 
 MIN_DOCS = 3
 MIN_CHARS = 20
@@ -51,16 +53,19 @@ def dedup_lines(
         .where(F.length("key") >= min_chars)
         .select("id", "__text_hash", "pos", F.xxhash64("key").alias("k1"), F.xxhash64(F.lit(1), "key").alias("k2"))
     )
-    shared = (
+    shared = settled(
         lines.groupBy("k1", "k2", "id")
-        .agg(F.lit(1).alias("one"))
+        .agg(F.count(F.lit(1)).alias("times"))
         .groupBy("k1", "k2")
-        .agg(F.count("one").alias("n"), F.max("id").alias("keeper"))
+        .agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper"), F.sum("times").alias("times"))
         .where(F.col("n") >= min_docs)
-        .select("k1", "k2", "keeper")
+        .select(F.col("k1").alias("s1"), F.col("k2").alias("s2"), "keeper", "times"),
+        "shared-lines",
     )
+    hot = hot_of_counts(shared, ["s1", "s2"], "times", shared.agg(F.sum("times")).first()[0] or 0)
+    found = shared.drop("times")
     gone = (
-        lines.join(shared, ["k1", "k2"])
+        join_spread(lines, found, ["k1", "k2"], ["s1", "s2"], hot, ["id", "__text_hash", "pos"])
         .where(~F.col("id").eqNullSafe(F.col("keeper")))
         .groupBy(F.col("id").alias("__id"), F.col("__text_hash").alias("__hash"))
         .agg(F.collect_set("pos").alias("__gone"))
