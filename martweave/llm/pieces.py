@@ -30,9 +30,11 @@ from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -236,28 +238,26 @@ def marked_words(text: str) -> list[str]:
 def encode_texts(texts: list[str], vocabulary: Vocabulary, known: dict[str, bytes]) -> pa.ListArray:
     """Ids of each text. ``known`` keeps the words of earlier calls, up to a number of them."""
     per_text = [marked_words(t) for t in texts]
-    counts = np.array([len(w) for w in per_text], dtype=np.int64)
-    words = pa.array((w for ws in per_text for w in ws), pa.string()).dictionary_encode()
-    distinct = words.dictionary.to_pylist()
-    new = {
-        word: array("i", found).tobytes()
-        for word, found in segment_sorted(sorted(w for w in distinct if w not in known), vocabulary)
-    }
-    entries = [new[w] if w in new else known[w] for w in distinct]
-    if len(known) + len(new) <= CACHE_WORDS:  # words seen first are the frequent ones
-        known.update(new)
-    flat = np.frombuffer(b"".join(entries), dtype=np.int32)
-    lengths = np.array([len(e) // 4 for e in entries], dtype=np.int64)
-    starts = np.cumsum(lengths) - lengths
-    codes = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    sizes = lengths[codes] if len(codes) else np.zeros(0, dtype=np.int64)
-    ends = np.cumsum(sizes)
-    total = int(ends[-1]) if len(ends) else 0
-    values = flat[np.arange(total) + np.repeat((starts[codes] if len(codes) else sizes) - (ends - sizes), sizes)]
-    upto = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+    words = list(chain.from_iterable(per_text))
+    found = list(map(known.get, words))
+    missing = sorted({w for w, ids in zip(words, found) if ids is None})
+    if missing:
+        new = {word: array("i", ids).tobytes() for word, ids in segment_sorted(missing, vocabulary)}
+        found = [new[w] if ids is None else ids for w, ids in zip(words, found)]
+        if len(known) + len(new) <= CACHE_WORDS:  # words seen first are the frequent ones
+            known.update(new)
+    ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4)])
+    upto = ends[np.concatenate([[0], np.cumsum([len(w) for w in per_text], dtype=np.int64)])]
+    values = np.frombuffer(b"".join(found), dtype=np.int32)
     return pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(values, pa.int32()))
 
 
+@lru_cache(maxsize=2)
+def _known_words(model: str) -> dict[str, bytes]:
+    """Ids of words that a worker has segmented; its tasks share them."""
+    return {}
+
+
 def decode_ids(ids: Iterable[int], vocabulary: Vocabulary) -> str:
     """The text of the ids. Unknown ids give nothing, bytes that are no UTF-8 the replacement character."""
     table, n = vocabulary.bytes_of, len(vocabulary.bytes_of)
@@ -265,15 +265,37 @@ def decode_ids(ids: Iterable[int], vocabulary: Vocabulary) -> str:
     return (raw[1:] if raw.startswith(b" ") else raw).decode("utf-8", "replace")
 
 
+@lru_cache(maxsize=2)
+def _piece_table(model: str) -> pa.Array:
+    """The bytes of every id, and no bytes for the id behind the last."""
+    return pa.array([*load(model).bytes_of, b""], pa.binary())
+
+
+def decode_lists(ids: pa.ListArray, model: str) -> pa.Array:
+    """The texts of lists of ids, as ``decode_ids`` gives them one by one."""
+    table = _piece_table(model)
+    offsets = ids.offsets.to_numpy()
+    flat = pc.fill_null(ids.values.slice(offsets[0], offsets[-1] - offsets[0]), -1).to_numpy()
+    none = len(table) - 1
+    pieces = table.take(pa.array(np.where((flat < 0) | (flat > none), none, flat)))
+    data, starts = pieces.buffers()[2], np.frombuffer(pieces.buffers()[1], np.int32, len(pieces) + 1)
+    cuts = starts[offsets - offsets[0]].astype(np.int32)
+    raw = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(cuts), data])
+    raw = pc.replace_substring_regex(raw, "^ ", "", max_replacements=1)
+    try:
+        return raw.cast(pa.string())
+    except pa.ArrowInvalid:  # bytes that are no UTF-8
+        return pa.array([text.decode("utf-8", "replace") for text in raw.to_pylist()], pa.string())
+
+
 def encode(docs: DataFrame, model: str, text_col: str = "text", name: str = "ids") -> DataFrame:
     """``docs`` with the piece ids of ``text_col``; a null or empty text has none.
 
     ``model`` is the path of a model file that every executor can open.
     """
-    known: dict[str, bytes] = {}
 
     def compute(texts: pa.Array) -> pa.Array:
-        return encode_texts(texts.to_pylist(), load(model), known)
+        return encode_texts(texts.to_pylist(), load(model), _known_words(model))
 
     return add_column(docs, name, T.ArrayType(T.IntegerType()), whole_text(text_col), compute, STEP)
 
@@ -282,10 +304,6 @@ def decode(rows: DataFrame, model: str, ids_col: str = "ids", name: str = "decod
     """``rows`` with the text of ``ids_col``; null or no ids give an empty text."""
 
     def compute(ids: pa.Array) -> pa.Array:
-        vocabulary = load(model)
-        offsets = ids.offsets.to_pylist()
-        values = ids.values.slice(offsets[0], offsets[-1] - offsets[0]).to_pylist()
-        cuts = [o - offsets[0] for o in offsets]
-        return pa.array([decode_ids(values[a:b], vocabulary) for a, b in zip(cuts, cuts[1:])], pa.string())
+        return decode_lists(ids, model)
 
     return add_column(rows, name, T.StringType(), F.coalesce(F.col(ids_col), F.array().cast("array<int>")), compute, STEP)
