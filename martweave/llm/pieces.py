@@ -44,7 +44,7 @@ from martweave.llm.common import add_column, whole_text
 MARK = "▁"  # stands for a blank in the model's pieces
 _UNKNOWN_PENALTY = 10.0
 _WORDS = re.compile(r" *[^ ]+| +")
-CACHE_WORDS, CACHE_PAIRS = 300_000, 500_000
+CACHE_WORDS, CACHE_PAIRS = 150_000, 500_000
 STEP = 1 << 20  # code points or ids that are worked on at once
 
 
