@@ -24,9 +24,9 @@ from martweave.plans.store import MartStore
 from martweave.sinks import files, quarantine
 from martweave.sinks import jdbc as jdbc_sink
 from martweave.sources import jdbc as jdbc_source
-from martweave.sources import landing, sales_csv
+from martweave.sources import landing, listing, sales_csv
 from martweave.sources.retail_tables import open_tables
-from martweave.streaming.pickup import run_id_of, start_pickup
+from martweave.streaming.pickup import run_id_of, start_file_pickup, start_pickup
 from martweave.workspace import as_table, is_local, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -167,8 +167,7 @@ def header_verdicts(spark, folder):
 def landed_file_kinds(spark, folder):
     """Listing and split by extension: which deliveries hold csv files."""
     landed = deliveries.land_deliveries(spark, folder)
-    listed = landing.as_file_frame(spark, landing.list_files(spark, landed))
-    return listed.select(
+    return listing.file_table(spark, landed).select(
         deliveries.delivery_of(F.col("path")).alias("delivery"), "is_csv"
     ).distinct()
 
@@ -431,6 +430,37 @@ def pickup_after_rejected_delivery(spark, folder):
     return comparable(store.read(spark, "sales_person_incentive"))
 
 
+def pickup_refuses_unreadable_files(spark, folder):
+    """Two deliveries of all sales with a zero-byte file and a hidden one each, three pickups: what each run did with its files.
+
+    Files of sales are shown by their sales, which the fact holds once; refused files by their reason, once each.
+    """
+    sales, dims = _inputs(spark, folder)
+    landed, store = new_folder(spark, "landing"), MartStore(new_folder(spark, "marts"))
+    checkpoint = new_folder(spark, "pickup")
+    runs = []
+
+    def handle(found, number):
+        runs.append(run_id_of(spark, checkpoint, number))
+        batch.run_batch(spark, found, dims, store, runs[-1], require_input=False)
+
+    early = "sales_date < '1998-01-01'"
+    for name, part in (("early", sales.where(early)), ("late", _others(sales, early)), (None, None)):
+        if name:
+            at = f"{landed}/{name}"
+            deliveries.land_named(part, at, "sales")
+            deliveries.land_named(part.limit(1), at, "_hidden", files=1)
+            deliveries.land_empty(spark, at, "empty.csv")
+        start_file_pickup(spark, landed, checkpoint, handle).awaitTermination()
+    counted = store.read(spark, "fact").select(
+        F.element_at(F.split("source_file", "/"), -2).alias("delivery"), F.lit("counted").alias("outcome"), F.lit(1).alias("n")
+    )
+    refused = spark.read.parquet(f"{store.quarantine}/reasons").select(
+        F.element_at(F.split("path", "/"), -2).alias("delivery"), F.col("reason").alias("outcome"), F.lit(1).alias("n")
+    )
+    return counted.unionAll(refused).groupBy("delivery", "outcome").agg(F.sum("n").alias("rows"))
+
+
 def pickup_with_new_checkpoint(spark, folder):
     """A second checkpoint that sees old and new files: old sales are neither erased nor counted again."""
     sales, dims = _inputs(spark, folder)
@@ -612,6 +642,7 @@ QUERIES: dict[str, Query] = {
         landing_read_twice,
         redelivered_file_counts,
         pickup_after_rejected_delivery,
+        pickup_refuses_unreadable_files,
         pickup_with_new_checkpoint,
         rerun_moves_months,
         month_loses_partners,

@@ -87,6 +87,12 @@ def land_named(rows: DataFrame, landing: str, name: str, columns: list[str] = MA
         system.rename(hadoop.Path(part), target)
 
 
+def land_empty(spark: SparkSession, landing: str, name: str) -> None:
+    """Lands a file of no bytes."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(landing, name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True).close()
+
+
 def delivery_of(path: Column) -> Column:
     """The delivery named in a landed file's path."""
     return F.regexp_extract(path, "delivery=([a-z_]+)", 1)

@@ -207,6 +207,12 @@ ORACLES["quarantined_files_of_one_name"] = f"""WITH {_FACT}
 SELECT CASE WHEN sales_date < DATE '1998-01-01' THEN 'early' ELSE 'late' END AS folder, 'missing columns' AS reason,
        count(*) AS data_lines
 FROM fact GROUP BY ALL"""
+ORACLES["pickup_refuses_unreadable_files"] = f"""WITH {_FACT},
+parts AS (SELECT CASE WHEN sales_date < DATE '1998-01-01' THEN 'early' ELSE 'late' END AS delivery, count(*) AS rows
+          FROM fact GROUP BY 1)
+SELECT delivery, 'counted' AS outcome, rows FROM parts
+UNION ALL SELECT delivery, 'hidden name, which readers skip', 1 FROM parts
+UNION ALL SELECT delivery, 'missing columns', 1 FROM parts"""
 ORACLES["stream_pickup_archived"] = f"""WITH {_FACT}
 SELECT count(*) AS sales, CAST(sum(total_cost) AS DOUBLE) AS amount FROM fact"""
 for _name in (

@@ -43,6 +43,7 @@ _MOST_COLUMNS = 20480
 
 _PATHS_PER_TASK = 256
 _PATH_SCHEMA = T.StructType([T.StructField("path", T.StringType(), False)])
+_VERSION_SCHEMA = "path string, length bigint, modified_ms bigint"
 _HEADER_SCHEMA = T.StructType([T.StructField("path", T.StringType()), T.StructField("header", T.StringType())])
 
 
@@ -106,19 +107,69 @@ def is_hidden(name: Column) -> Column:
     return name.rlike("^[_.]")
 
 
-def file_identities(spark: SparkSession, paths: list[str]) -> DataFrame:
+def file_identities(spark: SparkSession, paths: list[str], direct_schemes=DIRECT_SCHEMES) -> DataFrame:
     """``(path, length, modified)``: the version of each file, for telling a new delivery under an old name.
 
-    Spark's own listing of the paths; contents are not read. Files that readers
-    skip are not in it.
+    Tasks look the files up; those of other schemes than the direct ones are listed by Spark, and by the driver
+    where Spark leaves them out (zero-byte and hidden files). Contents are not read. Files that are gone are not in it.
     """
-    visible = [reader_path(p) for p in paths if p.rsplit("/", 1)[-1][:1] not in ("_", ".")]
-    if not visible:
-        return spark.createDataFrame([], "path string, length bigint, modified timestamp")
-    listed = spark.read.format("binaryFile").load(visible)
-    return listed.select(
-        metadata_path().alias("path"), "length", F.col("modificationTime").alias("modified")
-    ).dropDuplicates(["path"])
+    direct = [p for p in paths if p.split(":", 1)[0] in direct_schemes]
+    other = sorted(set(paths).difference(direct))
+    found = as_file_frame(spark, direct).select("path").mapInArrow(_version_reader(), _VERSION_SCHEMA)
+    found = found.select("path", "length", F.timestamp_millis("modified_ms").alias("modified"))
+    visible = [p for p in other if p.rsplit("/", 1)[-1][:1] not in ("_", ".")]
+    if visible:
+        listed = spark.read.format("binaryFile").load([reader_path(p) for p in visible])
+        listed = listed.select(metadata_path().alias("path"), "length", F.col("modificationTime").alias("modified"))
+        found = found.unionAll(listed)
+        empty = as_file_frame(spark, visible).join(listed, "path", "left_anti")
+        other = sorted({*other} - {*visible} | {r["path"] for r in empty.select("path").toLocalIterator()})
+    if other:
+        rows = spark.createDataFrame(_statuses(spark, other), _VERSION_SCHEMA)
+        found = found.unionAll(rows.select("path", "length", F.timestamp_millis("modified_ms").alias("modified")))
+    return found.dropDuplicates(["path"])
+
+
+def _statuses(spark: SparkSession, paths: list[str]) -> list[tuple[str, int, int]]:
+    """``(path, length, modified_ms)`` of files that exist, one look of the driver each."""
+    rows = []
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+        if system.exists(at):
+            status = system.getFileStatus(at)
+            rows.append((path, status.getLen(), status.getModificationTime()))
+    return rows
+
+
+def _version_reader():
+    """A task function from Arrow batches of paths to batches of (path, length, modified_ms), for files that exist."""
+    schemes = dict(ARROW_SCHEMES)
+
+    def info_of(path: str):
+        from pyarrow import fs
+
+        local = path.removeprefix("file:")
+        if local.startswith("/"):
+            return fs.LocalFileSystem().get_file_info(local)
+        scheme, rest = path.split(":", 1)
+        system, inner = fs.FileSystem.from_uri(f"{schemes.get(scheme, scheme)}:{rest}")
+        return system.get_file_info(inner)
+
+    def read(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            infos = [(path, info_of(path)) for path in batch.column("path").to_pylist()]
+            infos = [(path, info) for path, info in infos if info.is_file]
+            columns = [
+                pa.array([path for path, _ in infos], pa.string()),
+                pa.array([info.size for _, info in infos], pa.int64()),
+                pa.array([info.mtime_ns // 1_000_000 for _, info in infos], pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["path", "length", "modified_ms"])
+
+    return read
 
 
 def as_file_frame(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -132,6 +183,13 @@ def as_file_frame(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
+def versions(spark: SparkSession, files: list[str] | DataFrame, direct_schemes=DIRECT_SCHEMES) -> DataFrame:
+    """``path, file_name, is_csv, length, modified`` of a path list, or of a file table that has these columns."""
+    if isinstance(files, DataFrame):
+        return files.select("path", "file_name", "is_csv", "length", "modified")
+    return as_file_frame(spark, files).join(file_identities(spark, files, direct_schemes), "path", "left")
+
+
 def _header_reader(chunk_bytes: int = 1 << 16, opener: Opener | None = None):
     """A task function from Arrow batches of paths to batches of (path, header).
 
@@ -197,26 +255,26 @@ def _scan_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def read_headers(
-    spark: SparkSession, csv_paths: list[str], direct_schemes=DIRECT_SCHEMES, opener: Opener | None = None
+    spark: SparkSession, files: list[str] | DataFrame, direct_schemes=DIRECT_SCHEMES, opener: Opener | None = None
 ) -> DataFrame:
     """``(path, header)``: the first line of each file, NULL when it has none.
 
-    One job for all files. With a directly readable file system, tasks open their
-    share of the files and stop after the first line; the data are not scanned.
+    One job for all files, a path list or a table with their ``path``. With a directly
+    readable file system, tasks open their share of the files and stop after the
+    first line; the data are not scanned, and no path comes to the driver.
     ``opener`` opens a path of the direct schemes on an executor. Files of other
     schemes are scanned whole, which is logged.
     """
-    direct = [p for p in csv_paths if p.split(":", 1)[0] in direct_schemes]
-    other = [p for p in csv_paths if p.split(":", 1)[0] not in direct_schemes]
-    parts = []
-    if direct:
-        parts.append(as_file_frame(spark, direct).select("path").mapInArrow(_header_reader(opener=opener), _HEADER_SCHEMA))
-    if other:
-        log.warning("%d files are read whole for their headers; see direct_schemes", len(other))
-        parts.append(_scan_headers(spark, other))
-    if not parts:
-        return spark.createDataFrame([], _HEADER_SCHEMA)
-    return parts[0] if len(parts) == 1 else parts[0].unionAll(parts[1])
+    paths = files.select("path") if isinstance(files, DataFrame) else as_file_frame(spark, files).select("path")
+    is_direct = F.split_part("path", F.lit(":"), F.lit(1)).isin(list(direct_schemes))
+    direct = paths.where(is_direct)
+    tasks = max(1, direct.count() // _PATHS_PER_TASK)
+    headers = direct.repartition(tasks).mapInArrow(_header_reader(opener=opener), _HEADER_SCHEMA)
+    other = [r[0] for r in paths.where(~is_direct).toLocalIterator()]  # Spark's scan takes a list
+    if not other:
+        return headers
+    log.warning("%d files are read whole for their headers; see direct_schemes", len(other))
+    return headers.unionAll(_scan_headers(spark, other))
 
 
 def header_columns(spark: SparkSession, headers: list[str]) -> DataFrame:
@@ -256,12 +314,12 @@ def junk_columns(headers: DataFrame) -> DataFrame:
 
 def check_files(
     spark: SparkSession,
-    paths: list[str],
+    files: list[str] | DataFrame,
     direct_schemes=DIRECT_SCHEMES,
     require_csv: bool = True,
     opener: Opener | None = None,
 ) -> DataFrame:
-    """The verdict table, one row per file.
+    """The verdict table, one row per file of a path list or a file table (:func:`versions`).
 
     ``path, file_name, header, columns, missing, extras, verdict, reason``, and the
     file's version: ``length, modified``. A file is accepted when its name ends in
@@ -269,13 +327,17 @@ def check_files(
     compared case-sensitively; extra columns are allowed. Raises ``NoInputError``
     without any file, and with ``require_csv`` without any CSV file.
     """
-    if not paths:
+    if isinstance(files, list) and not files:
         raise NoInputError("no data available to process")
-    paths = sorted(set(paths))
-    csv_paths = [p for p in paths if p.endswith(".csv") and p.rsplit("/", 1)[-1][:1] not in ("_", ".")]
-    if require_csv and not csv_paths:
+    landed = as_table(versions(spark, files, direct_schemes).dropDuplicates(["path"]), "landed")
+    hidden = is_hidden(F.col("file_name"))
+    readable = F.col("is_csv") & ~hidden
+    count, csv_count = landed.agg(F.count(F.lit(1)), F.count_if(readable)).first()
+    if not count:
+        raise NoInputError("no data available to process")
+    if require_csv and not csv_count:
         raise NoInputError("no CSV files to process")
-    headers = as_table(read_headers(spark, csv_paths, direct_schemes, opener), "headers")
+    headers = as_table(read_headers(spark, landed.where(readable), direct_schemes, opener), "headers")
     distinct = headers.where("header is not null").select("header").distinct()
     # Only headers that may be complete are parsed one by one; there are few, as each is a table shape.
     complete = reduce(lambda a, b: a & b, [F.contains("header", F.lit(c)) for c in MANDATORY_COLUMNS])
@@ -284,12 +346,9 @@ def check_files(
     )
     required = F.array(*[F.lit(c) for c in MANDATORY_COLUMNS])
     found = F.coalesce(F.col("columns"), F.array().cast("array<string>"))
-    hidden = is_hidden(F.col("file_name"))
-    accepted = F.col("is_csv") & ~hidden & (F.size("missing") == 0)
+    accepted = readable & (F.size("missing") == 0)
     return (
-        as_file_frame(spark, paths)
-        .join(file_identities(spark, paths), "path", "left")
-        .join(headers, "path", "left")
+        landed.join(headers, "path", "left")
         .join(parsed, "header", "left")
         .withColumn("missing", F.array_except(required, found))
         .withColumn("extras", F.array_except(found, required))

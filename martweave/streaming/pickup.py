@@ -14,8 +14,11 @@ from collections.abc import Callable
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from martweave.sources import listing
+
 _FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -61,3 +64,79 @@ def start_pickup(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def start_file_pickup(
+    spark: SparkSession,
+    landing: str,
+    checkpoint: str,
+    handle: Callable[[DataFrame, int], None],
+    lister: listing.Lister | None = None,
+) -> StreamingQuery:
+    """Calls ``handle(files, batch_id)`` with the table of files that are new below ``landing``.
+
+    Unlike ``start_pickup`` it sees zero-byte files, hidden CSV files and new versions
+    under an old name, tasks list the landing, and the driver holds no path. The table has the
+    columns of ``listing.file_table``, which ``run_batch`` takes.
+
+    One call of this is one listing. Beside the checkpoint it keeps the files of the last
+    listing with the number of the batch that first saw each version; what is new in
+    a batch is read from there, so a batch that is repeated gets the same files.
+    A version that leaves the landing is forgotten.
+    """
+    spark.dataSource.register(listing.landed_files_source(lister))
+    seen_at = f"{checkpoint}/landed-files"
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        target = f"{seen_at}/{batch_id}"
+        written = _written_batches(spark, seen_at)
+        if batch_id not in written:
+            now = listing.as_files(batch)
+            earlier = [n for n in written if n < batch_id]
+            if earlier:
+                before = spark.read.parquet(f"{seen_at}/{max(earlier)}").select(
+                    F.col("path").alias("seen_path"),
+                    F.col("length").alias("seen_length"),
+                    F.col("modified").alias("seen_modified"),
+                    "first_seen",
+                )
+                same = (
+                    (F.col("path") == F.col("seen_path"))
+                    & F.col("length").eqNullSafe(F.col("seen_length"))
+                    & F.col("modified").eqNullSafe(F.col("seen_modified"))
+                )
+                now = now.join(before, same, "left").select(
+                    *now.columns, F.coalesce("first_seen", F.lit(batch_id)).cast("bigint").alias("first_seen")
+                )
+            else:
+                now = now.withColumn("first_seen", F.lit(batch_id).cast("bigint"))
+            now.write.mode("overwrite").parquet(target)
+        new = spark.read.parquet(target).where(F.col("first_seen") == batch_id).drop("first_seen")
+        if not new.isEmpty():
+            handle(new, batch_id)
+        _forget(spark, seen_at, [n for n in written if n < batch_id - 1])
+
+    return (
+        spark.readStream.format("landed_files")
+        .load(listing.qualified(spark, landing))
+        .writeStream.foreachBatch(each)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def _written_batches(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of the batches whose table below ``folder`` is complete."""
+    paths = spark._jvm.org.apache.hadoop.fs.Path
+    system = paths(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    done = system.globStatus(paths(folder, "*/_SUCCESS")) or []
+    return [int(s.getPath().getParent().getName()) for s in done]
+
+
+def _forget(spark: SparkSession, folder: str, batches: list[int]) -> None:
+    """Removes the tables of batches that cannot be repeated any more."""
+    paths = spark._jvm.org.apache.hadoop.fs.Path
+    system = paths(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for n in batches:
+        system.delete(paths(folder, str(n)), True)
