@@ -36,6 +36,10 @@ FACT_SCHEMA = T.StructType(
     ]
 )
 
+# Cells of a sale whose text is no value of their column's type; NULL when there is none.
+UNPARSED = "unparsed"
+UNPARSED_TYPE = T.ArrayType(T.StructType([T.StructField("column", T.StringType()), T.StructField("text", T.StringType())]))
+
 # The dimension columns the marts need.
 CUSTOMER_COLUMNS = ["customer_id", "first_name", "last_name", "address", "pincode", "phone_number"]
 STORE_COLUMNS = ["id", "store_manager_name"]

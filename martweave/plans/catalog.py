@@ -390,6 +390,20 @@ def landed_sales_to_marts(spark, folder):
     return comparable(store.read(spark, "sales_person_incentive"))
 
 
+def unparsed_cells(spark, folder):
+    """All sales as landed files, with quantities and amounts that are no numbers for two of the return flags: every such cell."""
+    sales, dims = _inputs(spark, folder)
+    text = lambda name: F.col(name).cast("string")
+    spoiled = sales.withColumn(
+        "quantity", F.when(F.col("return_flag") == "R", F.concat(F.lit("x"), text("quantity"))).otherwise(text("quantity"))
+    ).withColumn("total_cost", F.when(F.col("return_flag") != "N", "n/a").otherwise(text("total_cost")))
+    landed, store = new_folder(spark, "landing"), MartStore(new_folder(spark, "marts"))
+    deliveries.land_named(spoiled, landed, "sales")
+    batch.run_batch(spark, listing.file_table(spark, landed), dims, store, "run")
+    cells = sales_csv.unparsed_cells(store.read(spark, "fact"))
+    return comparable(cells.select("customer_id", "store_id", "sales_person_id", "sales_date", "column", "text"))
+
+
 def landing_read_twice(spark, folder):
     """Two runs over one landing that keeps its files: every sale counts once."""
     sales, dims = _inputs(spark, folder)
@@ -639,6 +653,7 @@ QUERIES: dict[str, Query] = {
         stream_pickup_count,
         recomputed_months,
         landed_sales_to_marts,
+        unparsed_cells,
         landing_read_twice,
         redelivered_file_counts,
         pickup_after_rejected_delivery,

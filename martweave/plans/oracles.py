@@ -207,6 +207,10 @@ ORACLES["quarantined_files_of_one_name"] = f"""WITH {_FACT}
 SELECT CASE WHEN sales_date < DATE '1998-01-01' THEN 'early' ELSE 'late' END AS folder, 'missing columns' AS reason,
        count(*) AS data_lines
 FROM fact GROUP BY ALL"""
+_CELL = "SELECT customer_id, store_id, sales_person_id, CAST(sales_date AS VARCHAR) AS sales_date"
+ORACLES["unparsed_cells"] = f"""WITH {_FACT}
+{_CELL}, 'quantity' AS "column", 'x' || CAST(quantity AS VARCHAR) AS text FROM fact WHERE return_flag = 'R'
+UNION ALL {_CELL}, 'total_cost', 'n/a' FROM fact WHERE return_flag <> 'N'"""
 ORACLES["pickup_refuses_unreadable_files"] = f"""WITH {_FACT},
 parts AS (SELECT CASE WHEN sales_date < DATE '1998-01-01' THEN 'early' ELSE 'late' END AS delivery, count(*) AS rows
           FROM fact GROUP BY 1)

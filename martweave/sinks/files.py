@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,12 +51,20 @@ def write_snapshot(frame: DataFrame, path: str, run_ts: int | str, by: tuple[str
         _gathered(frame, by).write.mode("overwrite").partitionBy(*by).parquet(version_path(path, run_ts))
 
 
-def write_new(frame: DataFrame, folder: str, by: tuple[str, ...] = ()) -> None:
-    """Writes a folder that must not exist yet, split by ``by``."""
+def write_new(
+    frame: DataFrame,
+    folder: str,
+    by: tuple[str, ...] = (),
+    watch: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> None:
+    """Writes a folder that must not exist yet, split by ``by``.
+
+    ``watch`` may add an observation to the rows as they go to the writer.
+    """
     if not by:
-        return frame.write.parquet(folder)
+        return watch(frame).write.parquet(folder)
     with _spread_writers(frame.sparkSession):
-        _gathered(frame, by).write.partitionBy(*by).parquet(folder)
+        watch(_gathered(frame, by)).write.partitionBy(*by).parquet(folder)
 
 
 def version_path(path: str, run_ts: int | str) -> str:

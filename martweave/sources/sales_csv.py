@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections import defaultdict
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martweave.contract import EXTRA_COLUMN, FACT_SCHEMA, MANDATORY_COLUMNS
+from martweave.contract import EXTRA_COLUMN, FACT_SCHEMA, MANDATORY_COLUMNS, UNPARSED, UNPARSED_TYPE
 from martweave.functions.sales import extras_map, field, fold_extras, money, whole_number
 from martweave.sources.landing import metadata_path, reader_path
 
@@ -22,20 +22,42 @@ def empty_fact(spark: SparkSession) -> DataFrame:
 def conform(raw: DataFrame, names: list[str]) -> DataFrame:
     """Text columns of one header to the fact schema, by name.
 
-    Text that is no number or date becomes NULL. Columns outside the contract
-    are folded into ``extra_column`` in header order, and kept with their names in
-    ``extra_map``.
+    Text that is no number or date becomes NULL, and is kept with its column in
+    ``unparsed``; blank cells are missing values, not unparsed ones. Columns outside
+    the contract are folded into ``extra_column`` in header order, and kept with
+    their names in ``extra_map``.
     """
     casts = {T.LongType: whole_number, T.DateType: lambda c: c.try_cast("date"), T.DecimalType: money}
-    typed = [
-        casts.get(type(FACT_SCHEMA[c].dataType), lambda c: c)(field(c)).alias(c) for c in MANDATORY_COLUMNS
-    ]
+    typed = {c: casts.get(type(FACT_SCHEMA[c].dataType), lambda c: c)(field(c)) for c in MANDATORY_COLUMNS}
     extras = [n for n in names if n not in MANDATORY_COLUMNS]
     return raw.select(
-        *typed,
+        *[value.alias(c) for c, value in typed.items()],
         fold_extras(extras).alias(EXTRA_COLUMN),
         extras_map(extras).alias("extra_map"),
         metadata_path().alias("source_file"),
+        unparsed_of(typed).alias(UNPARSED),
+    )
+
+
+def unparsed_of(typed: dict[str, Column]) -> Column:
+    """The cells that hold text where the typed value is NULL; NULL when there is none."""
+    cells = F.array(
+        *[
+            F.when(
+                value.isNull() & field(c).rlike(r"[^\x00-\x20]"),
+                F.struct(F.lit(c).alias("column"), field(c).alias("text")),
+            )
+            for c, value in typed.items()
+        ]
+    )
+    found = F.filter(cells, lambda cell: cell.isNotNull())
+    return F.when(F.size(found) > 0, found).cast(UNPARSED_TYPE)
+
+
+def unparsed_cells(fact: DataFrame) -> DataFrame:
+    """One row per cell that did not parse: the fact's columns, then ``column`` and ``text``."""
+    return fact.where(F.col(UNPARSED).isNotNull()).select(
+        *[c for c in fact.columns if c != UNPARSED], F.inline(UNPARSED)
     )
 
 
@@ -45,7 +67,7 @@ def read_sales(spark: SparkSession, accepted: DataFrame, keep: tuple[str, ...] =
     Files are grouped by header line because Spark binds CSV columns by
     position. The plan grows with the number of headers, not of files. The paths
     come to the driver, which lists them for every scan anyway. ``keep`` adds
-    ``extra_map`` or ``source_file`` to the nine fact columns.
+    ``extra_map``, ``source_file`` or ``unparsed`` to the nine fact columns.
     """
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for row in accepted.select("columns", "path").toLocalIterator():
