@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from martweave.contract import DONE, MANDATORY_COLUMNS, STARTED
 from martweave.functions.sales import month_key
-from martweave.operators import ledger
+from martweave.operators import ledger, widening
 from martweave.operators.enrich import Dimensions, enrich
 from martweave.operators.ranking import rank_sellers
 from martweave.operators.totals import seller_totals
@@ -404,6 +404,28 @@ def unparsed_cells(spark, folder):
     return comparable(cells.select("customer_id", "store_id", "sales_person_id", "sales_date", "column", "text"))
 
 
+def extras_widened(spark, folder):
+    """Sales in two deliveries whose extra columns differ in type: one whole and then fractional, one days and then times,
+    one whole in both, one whole and then text."""
+    sales, landed = open_tables(spark, folder).sales_fact(), new_folder(spark, "landing")
+    early, extras = "sales_date < '1998-01-01'", ["units", "noted", "code", "label"]
+    for name, part, values in (
+        ("early", sales.where(early), ("quantity", "CAST(sales_date AS STRING)", "store_id", "quantity")),
+        (
+            "late",
+            _others(sales, early),
+            ("quantity + 0.5D", "concat(sales_date, ' 12:30:00')", "store_id", "concat('q', quantity)"),
+        ),
+    ):
+        rows = part.withColumns({e: F.expr(v) for e, v in zip(extras, values, strict=True)})
+        deliveries.land_named(rows, f"{landed}/{name}", "sales", [*MANDATORY_COLUMNS, *extras])
+    accepted = landing.require_accepted(landing.check_files(spark, listing.file_table(spark, landed)))
+    read = as_table(sales_csv.read_sales(spark, accepted, keep=("extra_map", "source_file")), "read")
+    typed = widening.typed_extras(read, widening.widened(widening.candidates(read)))
+    shown = typed.select("customer_id", "sales_person_id", "extras.*")
+    return comparable(shown.withColumn("noted", F.date_format("noted", "yyyy-MM-dd HH:mm:ss")))
+
+
 def landing_read_twice(spark, folder):
     """Two runs over one landing that keeps its files: every sale counts once."""
     sales, dims = _inputs(spark, folder)
@@ -654,6 +676,7 @@ QUERIES: dict[str, Query] = {
         recomputed_months,
         landed_sales_to_marts,
         unparsed_cells,
+        extras_widened,
         landing_read_twice,
         redelivered_file_counts,
         pickup_after_rejected_delivery,

@@ -207,6 +207,13 @@ ORACLES["quarantined_files_of_one_name"] = f"""WITH {_FACT}
 SELECT CASE WHEN sales_date < DATE '1998-01-01' THEN 'early' ELSE 'late' END AS folder, 'missing columns' AS reason,
        count(*) AS data_lines
 FROM fact GROUP BY ALL"""
+_EARLY = "sales_date < DATE '1998-01-01'"
+ORACLES["extras_widened"] = f"""WITH {_FACT}
+SELECT customer_id, sales_person_id, store_id AS code,
+       CAST(quantity AS DOUBLE) + CASE WHEN {_EARLY} THEN 0 ELSE 0.5 END AS units,
+       CAST(sales_date AS VARCHAR) || CASE WHEN {_EARLY} THEN ' 00:00:00' ELSE ' 12:30:00' END AS noted,
+       CASE WHEN {_EARLY} THEN '' ELSE 'q' END || CAST(quantity AS VARCHAR) AS label
+FROM fact"""
 _CELL = "SELECT customer_id, store_id, sales_person_id, CAST(sales_date AS VARCHAR) AS sales_date"
 ORACLES["unparsed_cells"] = f"""WITH {_FACT}
 {_CELL}, 'quantity' AS "column", 'x' || CAST(quantity AS VARCHAR) AS text FROM fact WHERE return_flag = 'R'
