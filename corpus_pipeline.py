@@ -65,7 +65,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The piece ids of every document."""
-    coded = encode(docs.select("doc_id", "lang", "source", "text"), PIECE_MODEL)
+    coded = encode(docs.select("doc_id", "lang", "source", "text"), PIECE_MODEL, without=["text"])
     return coded.select("doc_id", "lang", "source", "ids", F.size("ids").cast("bigint").alias("n_ids"))
 
 

@@ -99,7 +99,7 @@ def add_fingerprints(docs: DataFrame, text_col: str = "text", name: str = "finge
     def compute(texts: pa.Array) -> pa.Array:
         return pa.array([written(signature(t, k, l, m)) for t in texts.to_pylist()], pa.string())
 
-    return add_column(docs, name, T.StringType(), whole_text(text_col), compute)
+    return add_column(docs, name, T.StringType(), text_col, compute)
 
 
 _MID = (

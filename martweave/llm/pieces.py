@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import lru_cache
 from itertools import chain
@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martweave.llm.common import add_column, whole_text
+from martweave.llm.common import add_column
 
 MARK = "▁"  # stands for a blank in the model's pieces
 _UNKNOWN_PENALTY = 10.0
@@ -288,16 +288,16 @@ def decode_lists(ids: pa.ListArray, model: str) -> pa.Array:
         return pa.array([text.decode("utf-8", "replace") for text in raw.to_pylist()], pa.string())
 
 
-def encode(docs: DataFrame, model: str, text_col: str = "text", name: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, model: str, text_col: str = "text", name: str = "ids", without: Sequence[str] = ()) -> DataFrame:
     """``docs`` with the piece ids of ``text_col``; a null or empty text has none.
 
-    ``model`` is the path of a model file that every executor can open.
+    ``model`` is the path of a model file that every executor can open. Columns ``without`` are left out.
     """
 
     def compute(texts: pa.Array) -> pa.Array:
         return encode_texts(texts.to_pylist(), load(model), _known_words(model))
 
-    return add_column(docs, name, T.ArrayType(T.IntegerType()), whole_text(text_col), compute, STEP)
+    return add_column(docs, name, T.ArrayType(T.IntegerType()), text_col, compute, STEP, without)
 
 
 def decode(rows: DataFrame, model: str, ids_col: str = "ids", name: str = "decoded") -> DataFrame:

@@ -178,7 +178,7 @@ def feature_table(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
         return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * N_FEATURES, pa.int32()), pa.array(flat))
 
     plain = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
-    rows = add_column(plain, "x", T.ArrayType(T.FloatType()), F.col("text"), compute).drop("text")
+    rows = add_column(plain, "x", T.ArrayType(T.FloatType()), "text", compute, without=["text"])
     good = (
         labels.where(learnable(F.col("doc_id")))
         .groupBy(F.col("doc_id").alias("good_id"))
@@ -218,4 +218,4 @@ def score_texts(docs: DataFrame, scorer: Scorer, name: str = "score", text_col:
         rows = [features(t) for t in texts.to_pylist()]
         return pa.array(scorer.score(np.array(rows, dtype=np.float64).reshape(-1, N_FEATURES)))
 
-    return add_column(docs, name, T.DoubleType(), whole_text(text_col), compute)
+    return add_column(docs, name, T.DoubleType(), text_col, compute)
